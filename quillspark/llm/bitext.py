@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import spread
-from .arrow import arrow_stage, partition_stage
+from ..arrow import arrow_stage, partition_stage
 from .lookalike import INVISIBLE, LOOK_ALIKE
 from .sentences import BoundaryModel, sentence_spans
 from .words import words

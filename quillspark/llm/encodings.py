@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import spread
-from .arrow import arrow_stage, partition_stage
+from ..arrow import arrow_stage, partition_stage
 
 # Encodings in which bytes are wrongly read, and in which they may have been meant.
 READ_AS = ("cp1252", "latin-1", "cp437", "cp1251", "mac_roman", "cp850", "koi8-r", "cp866", "cp1250", "iso8859-15")

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import spread
-from .arrow import arrow_stage, partition_stage
+from ..arrow import arrow_stage, partition_stage
 
 # Letters of other scripts that are drawn like a Latin letter, and Arabic letters drawn alike.
 CYRILLIC_AS_LATIN = {
