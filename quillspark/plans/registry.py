@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import nested
+from . import nested, segments
 
-MODULES = (nested,)
+MODULES = (nested, segments)
 
 
 def queries() -> dict[str, Callable]:
