@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import nested
 from ..session import table
+from .annotation_sql import OBJECTS, PATHS
 
 
 def p3_bridge(spark: SparkSession, d: str) -> DataFrame:
@@ -22,4 +23,4 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {"p3_found": p3_found, "p3_bridge": p3_bridge, "p3_objects": p3_objects}
-SQL: dict[str, str] = {}
+SQL = {"p3_found": f"WITH {OBJECTS}, {PATHS} SELECT obj.result_id, parent_path, object_path, coalesce(issue_id, 0) AS issue_id FROM obj LEFT JOIN i3 USING (result_id, object_path)"}

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import nested, segments
+from . import annotation, corpus, nested, segments
 
-MODULES = (nested, segments)
+MODULES = (nested, segments, annotation, corpus)
 
 
 def queries() -> dict[str, Callable]:
