@@ -153,7 +153,7 @@ def marker_findings(bridge: DataFrame, results: DataFrame, poems: DataFrame) ->
     found = F.flatten(F.array(*(family(c, ms) for c, ms in families.items())))
     hits = free_texts(bridge).select("result_id", "field_path", F.inline(found))
     source = results.select("result_id", "poem_id").join(poems.select("poem_id", text.alias("source")), "poem_id")
-    held = F.col("source").rlike(F.concat(F.lit("(^|[^a-z])"), F.col("marker"), F.lit("([^a-z]|$)")))
+    held = F.rlike(F.col("source"), F.concat(F.lit("(^|[^a-z])"), F.col("marker"), F.lit("([^a-z]|$)")))
     return hits.join(source, "result_id").where(~held).select("result_id", "field_path", "category", "marker")
 
 

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import annotation, corpus, nested, segments
+from . import annotation, corpus, grounding, nested, segments
 
-MODULES = (nested, segments, annotation, corpus)
+MODULES = (nested, segments, annotation, corpus, grounding)
 
 
 def queries() -> dict[str, Callable]:
