@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import annotation, corpus, grounding, nested, segments
+from . import annotation, corpus, grounding, nested, planning, segments, vectors
 
-MODULES = (nested, segments, annotation, corpus, grounding)
+MODULES = (nested, segments, annotation, corpus, grounding, planning, vectors)
 
 
 def queries() -> dict[str, Callable]:
