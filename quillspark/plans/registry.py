@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import annotation, corpus, grounding, nested, planning, segments, vectors
+from . import annotation, corpus, grounding, nested, planning, records, segments, vectors
 
-MODULES = (nested, segments, annotation, corpus, grounding, planning, vectors)
+MODULES = (nested, segments, annotation, corpus, grounding, planning, vectors, records)
 
 
 def queries() -> dict[str, Callable]:
