@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
+def build_session(master: str = "local[*]", shuffle_partitions: int = 8, memory: str = "8g", conf: dict[str, str] | None = None) -> SparkSession:
     """A session for tests and local runs; clusters bring their own."""
     return (
         SparkSession.builder.master(master)
@@ -19,6 +19,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, memory:
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config(map=conf or {})
         .getOrCreate()
     )
 
@@ -27,12 +28,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_own: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: spark.checkpoint.dir, or a folder of our own where it is unset (tests)."""
     known = spark.conf.get("spark.checkpoint.dir", None)
     if not known:
-        known = "file://" + tempfile.mkdtemp(prefix="quillspark-")
-        spark.conf.set("spark.checkpoint.dir", known)
+        known = _own.setdefault(spark.sparkContext.applicationId, "") or "file://" + tempfile.mkdtemp(prefix="quillspark-")
+        _own[spark.sparkContext.applicationId] = known
     return known.rstrip("/")
 
 

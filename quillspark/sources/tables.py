@@ -32,10 +32,9 @@ def record_files(spark: SparkSession, path: str) -> DataFrame:
 def record_array(spark: SparkSession, path: str) -> DataFrame:
     """Records of a JSON array, or of the list under "poems" or "records" of an object."""
     raw = spark.read.option("wholetext", True).text(path)
-    rows = F.coalesce(F.from_json("value", f"array<struct<{', '.join(f'{k}: string' for k in RECORD_KEYS)}>>"),
-                      F.from_json(F.get_json_object("value", "$.poems"), f"array<struct<{', '.join(f'{k}: string' for k in RECORD_KEYS)}>>"),
-                      F.from_json(F.get_json_object("value", "$.records"), f"array<struct<{', '.join(f'{k}: string' for k in RECORD_KEYS)}>>"))
-    return raw.select(F.inline(rows)).select(*RECORD_KEYS)
+    items = f"array<struct<{', '.join(f'{k}: string' for k in RECORD_KEYS)}>>"
+    listed = F.when(F.ltrim("value").startswith("["), F.col("value")).otherwise(F.coalesce(F.get_json_object("value", "$.poems"), F.get_json_object("value", "$.records")))
+    return raw.select(F.inline(F.from_json(listed, items))).select(*RECORD_KEYS)
 
 
 def json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
