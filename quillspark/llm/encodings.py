@@ -92,8 +92,9 @@ class Channel:
         return math.log(n / self.total) if n else self.floor
 
     # --- UTF-8 read in a single-byte encoding -------------------------------------------------------------------
-    def sequences(self, run: str, at: int, enc: str):
-        """(characters read, character meant): UTF-8 sequences that start at a place of a run read in enc."""
+    def sequences(self, run: str, at: int, enc: str, least: int = LEAST_WORDS):
+        """(characters read, character meant): the UTF-8 sequence that starts at a place of a run read in enc, if it means
+        a character that the corpus holds."""
         table = byte_tables()[enc]
         lead = table.get(run[at])
         if lead is None or not 0xC2 <= lead <= 0xF4:
@@ -119,7 +120,7 @@ class Channel:
                 c = o.decode("utf-8")
             except UnicodeDecodeError:
                 continue
-            if self.chars.get(c, 0) >= LEAST_WORDS and (best is None or self.logp(c) > self.logp(best)):
+            if self.chars.get(c, 0) >= least and (best is None or self.logp(c) > self.logp(best)):
                 best = c
         if best is not None:
             yield size, best
@@ -184,7 +185,7 @@ class Channel:
                 continue
             inner, i, ok = [], 0, False
             while i < len(run):
-                got = next(iter(self.sequences(run, i, enc)), None)
+                got = next(iter(self.sequences(run, i, enc, 0)), None)
                 if got:
                     inner.append(got[1])
                     i += got[0]
