@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from .. import vocab
 from ..functions.text import has_word, is_blank, line_ref_status, numbered_lines, strip, words_found
-from . import nested
+from ..session import written
 
 FIELDS = {
     "annotation": "recitation_style STRING, emotional_arc STRING, theme STRING",
@@ -25,7 +25,7 @@ FIELDS = {
     "metaphor_mapping": "vehicle_concept STRING, tenor_concept STRING, transferred_attributes ARRAY<STRING>",
     "translation_loss": "what_was_lost STRING, `where` STRING, severity STRING",
 }
-VIOLATION = "array<struct<field_path string, rule string>>"
+ALL_FIELDS = ", ".join(dict.fromkeys(f.strip() for kind in FIELDS.values() for f in kind.split(", ")))
 
 
 def objects(bridge: DataFrame, kind: str, id_col: str = "result_id") -> DataFrame:
@@ -34,6 +34,16 @@ def objects(bridge: DataFrame, kind: str, id_col: str = "result_id") -> DataFram
     return rows.select(id_col, "parent_path", "object_path", "ordinal", F.from_json("fields", FIELDS[kind]).alias("o")).select(id_col, "parent_path", "object_path", "ordinal", "o.*")
 
 
+def every_object(bridge: DataFrame, id_col: str = "result_id") -> DataFrame:
+    """All objects at once, under the union of the kinds' fields: rules of several kinds then share one scan."""
+    keep = [id_col, "parent_path", "object_path", "kind", "ordinal", "n_children"]
+    return bridge.select(*keep, F.from_json("fields", ALL_FIELDS).alias("o")).select(*keep, "o.*")
+
+
+def of(kind: str, rules: list[Column]) -> list[Column]:
+    return [F.when(F.col("kind") == kind, r) for r in rules]
+
+
 def violation(test: Column, field: str, rule: str) -> Column:
     path = F.when(F.col("object_path") == "$", F.lit(field)).otherwise(F.concat("object_path", F.lit("." + field)))
     return F.when(test, F.struct(path.alias("field_path"), F.lit(rule).alias("rule")))
@@ -50,7 +60,7 @@ def blank(name: str) -> Column:
 
 def completeness(bridge: DataFrame) -> DataFrame:
     """Missing fields of entities, expressions and stanzas. A mapping is never required."""
-    entity = violations(objects(bridge, "cultural_entity"), [
+    entity = of("cultural_entity", [
         violation(F.col("term").rlike(r"[^\x{0}-\x{7f}]") & F.col("term").rlike(r"[\p{L}&&[^\x{0}-\x{7f}]]") & blank("romanization"), "romanization", "romanization_of_non_ascii_term"),
         violation(F.col("cultural_specificity_level").isNull(), "cultural_specificity_level", "specificity_required"),
         violation(F.col("translation_status").isNull(), "translation_status", "status_required"),
@@ -59,15 +69,15 @@ def completeness(bridge: DataFrame) -> DataFrame:
         violation(F.col("translation_status").isin(*vocab.NOTE_REQUIRED_STATUSES) & blank("translation_note"), "translation_note", "note_required_for_status"),
         violation(F.col("visual_priority").isNotNull() & (F.col("visual_priority") != "non_visual") & (F.coalesce(F.size("visual_features"), F.lit(0)) < 1), "visual_features", "features_required_unless_non_visual"),
     ])
-    expression = violations(objects(bridge, "metaphor_span"), [
+    expression = of("metaphor_span", [
         violation(blank("vehicle"), "vehicle", "vehicle_required"),
         violation(blank("tenor"), "tenor", "tenor_required"),
         violation((F.coalesce(F.col("expression_type"), F.lit("")) != "wordplay") & F.col("visualization_difficulty").isNull(), "visualization_difficulty", "difficulty_required"),
         violation(F.col("line_ref").isNull(), "line_ref", "line_ref_required"),
         violation(F.col("source_span_original").isNull(), "source_span_original", "span_required"),
     ])
-    stanza = violations(objects(bridge, "stanza"), [violation((F.coalesce(F.col("translation_quality"), F.lit("")) != "faithful") & blank("loss_note"), "loss_note", "loss_note_required_when_not_faithful")])
-    return entity.unionByName(expression).unionByName(stanza)
+    stanza = of("stanza", [violation((F.coalesce(F.col("translation_quality"), F.lit("")) != "faithful") & blank("loss_note"), "loss_note", "loss_note_required_when_not_faithful")])
+    return violations(every_object(bridge), [*entity, *expression, *stanza])
 
 
 def outside(name: str, allowed: tuple[str, ...], fold: bool = False) -> Column:
@@ -78,18 +88,15 @@ def outside(name: str, allowed: tuple[str, ...], fold: bool = False) -> Column:
 def vocabulary_errors(bridge: DataFrame) -> DataFrame:
     """Values outside the four case-sensitive vocabularies and, folded, outside the enumerations of the schema."""
     v = lambda name, allowed, fold=False: violation(outside(name, allowed, fold), name, "outside_vocabulary")
-    parts = [
-        violations(objects(bridge, "annotation"), [v("recitation_style", vocab.RECITATION_STYLES, True)]),
-        violations(objects(bridge, "stanza"), [v("emotion", vocab.EMOTIONS, True), v("tone", vocab.TONES, True), v("translation_quality", vocab.TRANSLATION_QUALITIES, True)]),
-        violations(objects(bridge, "cultural_entity"), [v("category", vocab.ENTITY_CATEGORIES, True), v("visual_priority", vocab.VISUAL_PRIORITIES, True),
-                                                       v("cultural_specificity_level", vocab.CULTURAL_SPECIFICITY), v("translation_status", vocab.TRANSLATION_STATUSES)]),
-        violations(objects(bridge, "metaphor_span"), [v("expression_type", vocab.EXPRESSION_TYPES, True), v("visualization_difficulty", vocab.VISUALIZATION_DIFFICULTY)]),
-        violations(objects(bridge, "translation_loss"), [v("severity", vocab.LOSS_SEVERITY)]),
+    rules = [
+        *of("annotation", [v("recitation_style", vocab.RECITATION_STYLES, True)]),
+        *of("stanza", [v("emotion", vocab.EMOTIONS, True), v("tone", vocab.TONES, True), v("translation_quality", vocab.TRANSLATION_QUALITIES, True)]),
+        *of("cultural_entity", [v("category", vocab.ENTITY_CATEGORIES, True), v("visual_priority", vocab.VISUAL_PRIORITIES, True),
+                                v("cultural_specificity_level", vocab.CULTURAL_SPECIFICITY), v("translation_status", vocab.TRANSLATION_STATUSES)]),
+        *of("metaphor_span", [v("expression_type", vocab.EXPRESSION_TYPES, True), v("visualization_difficulty", vocab.VISUALIZATION_DIFFICULTY)]),
+        *of("translation_loss", [v("severity", vocab.LOSS_SEVERITY)]),
     ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return violations(every_object(bridge), rules)
 
 
 def contradictions(bridge: DataFrame) -> DataFrame:
@@ -131,12 +138,10 @@ def free_texts(bridge: DataFrame) -> DataFrame:
         "metaphor_span": ("literal_meaning", "vehicle", "tenor", "visualization_strategy", "abstract_meaning"),
         "translation_loss": ("what_was_lost",),
     }
-    out = None
-    for kind, names in wanted.items():
-        fields = F.array(*(F.struct(F.concat("object_path", F.lit("." + n)).alias("field_path"), F.col(n).alias("text")) for n in names))
-        part = objects(bridge, kind).select("result_id", F.inline(F.filter(fields, lambda x: F.coalesce(x["text"], F.lit("")) != "")))
-        out = part if out is None else out.unionByName(part)
-    return out
+    fields = F.array(*(
+        F.when(F.col("kind") == kind, F.struct(F.concat("object_path", F.lit("." + n)).alias("field_path"), F.col(n).alias("text"))) for kind, names in wanted.items() for n in names
+    ))
+    return every_object(bridge).select("result_id", F.inline(F.filter(fields, lambda x: F.coalesce(x["text"], F.lit("")) != "")))
 
 
 def marker_findings(bridge: DataFrame, results: DataFrame, poems: DataFrame) -> DataFrame:
@@ -159,7 +164,7 @@ def marker_findings(bridge: DataFrame, results: DataFrame, poems: DataFrame) ->
 
 def risk_findings(bridge: DataFrame) -> DataFrame:
     """(<id>, field_path, rule): advisory checks that need the annotation alone."""
-    e, m, loss = objects(bridge, "cultural_entity"), objects(bridge, "metaphor_span"), objects(bridge, "translation_loss")
+    objs = written(every_object(bridge), "objects")
     evidence = F.lower(F.concat_ws(" ", F.coalesce("translation_note", F.lit("")), F.coalesce("gloss", F.lit(""))))
     has_evidence = F.lit(False)
     for w in vocab.EVIDENCE_MARKERS:
@@ -168,32 +173,29 @@ def risk_findings(bridge: DataFrame) -> DataFrame:
     for w in vocab.TENOR_MARKERS:
         sensitive = sensitive | has_word(F.lower("tenor"), w)
     variants = F.transform(F.filter("acceptable_visual_variants", lambda v: v.isNotNull()), lambda v: F.lower(strip(v)))
-    with_mapping = bridge.where("kind = 'metaphor_mapping'").select("result_id", F.col("parent_path").alias("object_path"), F.lit(True).alias("mapped"))
-    m = m.join(with_mapping, ["result_id", "object_path"], "left")
-    repeats = e.where("term <> ''").groupBy("result_id", "term").agg(F.count("*").alias("n"), F.count_distinct(F.struct("category", F.coalesce(strip(F.col("translation_note")), F.lit("")))).alias("k"))
-    here = F.lit("$").alias("field_path")
-    dense = (
-        bridge.groupBy("result_id").agg(F.count_if(F.col("kind") == "stanza").alias("s"), F.count_if(F.col("kind") == "cultural_entity").alias("e")).where("e > 2 * greatest(s, 1)")
-    )
-    many = bridge.where("kind = 'metaphor_span'").groupBy("result_id", "parent_path").agg(F.count("*").alias("n")).where("n > 3")
-    parts = [
-        violations(e, [
+    single = violations(objs, [
+        *of("cultural_entity", [
             violation(F.col("category").isin(*vocab.EVIDENCE_CATEGORIES) & ~has_evidence, "category", "category_without_evidence"),
             violation(F.size(F.array_distinct(variants)) < F.size(variants), "acceptable_visual_variants", "repeated_variants"),
             violation(F.col("preserved").isNull(), "preserved", "unresolved"),
             violation(F.col("translation_status") == "UNCERTAIN", "translation_status", "uncertain"),
         ]),
-        violations(m, [violation(F.coalesce(sensitive, F.lit(False)), "tenor", "tenor_too_specific"), violation((F.col("expression_type") == "metaphor") & F.col("mapped").isNull(), "metaphor_mapping", "metaphor_without_mapping")]),
-        violations(loss, [violation((F.col("severity") == "high") & F.col("where").isNull(), "where", "high_loss_without_place")]),
-        repeats.where("n > 1").select("result_id", here, F.lit("repeated_term").alias("rule")),
-        repeats.where("k > 1").select("result_id", here, F.lit("term_read_differently").alias("rule")),
-        dense.select("result_id", here, F.lit("too_many_entities").alias("rule")),
-        many.select("result_id", F.col("parent_path").alias("field_path"), F.lit("too_many_expressions").alias("rule")),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        *of("metaphor_span", [
+            violation(F.coalesce(sensitive, F.lit(False)), "tenor", "tenor_too_specific"),
+            violation((F.col("expression_type") == "metaphor") & (F.col("n_children") == 0), "metaphor_mapping", "metaphor_without_mapping"),
+        ]),
+        *of("translation_loss", [violation((F.col("severity") == "high") & F.col("where").isNull(), "where", "high_loss_without_place")]),
+    ])
+    here = F.lit("$").alias("field_path")
+    repeats = objs.where("kind = 'cultural_entity' AND term <> ''").groupBy("result_id", "term").agg(F.count("*").alias("n"), F.count_distinct(F.struct("category", F.coalesce(strip(F.col("translation_note")), F.lit("")))).alias("k"))
+    both = F.array_compact(F.array(F.when(F.col("n") > 1, F.lit("repeated_term")), F.when(F.col("k") > 1, F.lit("term_read_differently"))))
+    dense = objs.groupBy("result_id").agg(F.count_if(F.col("kind") == "stanza").alias("s"), F.count_if(F.col("kind") == "cultural_entity").alias("e")).where("e > 2 * greatest(s, 1)")
+    many = objs.where("kind = 'metaphor_span'").groupBy("result_id", "parent_path").agg(F.count("*").alias("n")).where("n > 3")
+    return (
+        single.unionByName(repeats.select("result_id", here, F.explode(both).alias("rule")))
+        .unionByName(dense.select("result_id", here, F.lit("too_many_entities").alias("rule")))
+        .unionByName(many.select("result_id", F.col("parent_path").alias("field_path"), F.lit("too_many_expressions").alias("rule")))
+    )
 
 
 def text_anomalies(poems: DataFrame) -> DataFrame:

@@ -94,10 +94,10 @@ def canonical(value: object) -> str:
 
 
 def flatten(obj: dict, kind: str, path: str, parent: str, ordinal: int, out: list) -> str:
-    """Append (parent_path, object_path, kind, ordinal, hash, fields) of obj and all objects below; its hash."""
+    """Append (parent_path, object_path, kind, ordinal, n_children, hash, fields) of obj and all objects below; its hash."""
     obj = full_keys(obj, kind)
     prefix = "" if path == "$" else path + "."
-    own, hashes = {}, []
+    own, hashes, children = {}, [], 0
     lists, singles = CHILD_LISTS.get(kind, {}), CHILD_OBJECTS.get(kind, {})
     at = len(out)
     out.append(None)
@@ -110,21 +110,23 @@ def flatten(obj: dict, kind: str, path: str, parent: str, ordinal: int, out: lis
                 continue
             for i, x in enumerate(many):
                 if isinstance(x, dict):
+                    children += 1
                     hashes.append(f"{name}[{i}]=" + flatten(x, lists[name], f"{prefix}{name}[{i}]", path, i, out))
                 else:
                     hashes.append(f"{name}[{i}]:" + canonical(x))
         elif name in singles and isinstance(value, dict):
+            children += 1
             hashes.append(f"{name}=" + flatten(value, singles[name], f"{prefix}{name}", path, 0, out))
         else:
             own[name] = value
     fields = canonical(own)
     h = digest(kind, fields, *hashes)
-    out[at] = (parent, path, kind, ordinal, h, fields)
+    out[at] = (parent, path, kind, ordinal, children, h, fields)
     return h
 
 
 def occurrences(df: DataFrame, id_col: str, json_col: str) -> DataFrame:
-    """Bridge rows: (<id>, parent_path, object_path, kind, ordinal, object_hash, fields)."""
+    """Bridge rows: (<id>, parent_path, object_path, kind, ordinal, n_children, object_hash, fields)."""
 
     def read(batch):
         for rid, text in zip(batch["_id"], batch["_json"]):
@@ -140,7 +142,7 @@ def occurrences(df: DataFrame, id_col: str, json_col: str) -> DataFrame:
                 yield rid, *row
 
     kind = df.schema[id_col].dataType.simpleString()
-    schema = f"`{id_col}` {kind}, parent_path string, object_path string, kind string, ordinal int, object_hash string, fields string"
+    schema = f"`{id_col}` {kind}, parent_path string, object_path string, kind string, ordinal int, n_children int, object_hash string, fields string"
     return arrow_stage(spread(df.select(F.col(id_col).alias("_id"), F.col(json_col).alias("_json"))), schema, read)
 
 

@@ -1,7 +1,7 @@
 """Exact grounding of quoted spans in numbered lines.
 
 A span is searched exactly: within single lines, in windows of stripped lines, then in the raw lines joined. Only what
-none of these finds is searched again in canonical composition (an Arrow stage over that rest). Nothing is fuzzy. Lines
+none of these finds is searched again in canonical composition (an Arrow function of that rest). Nothing is fuzzy. Lines
 stay an array beside the span, so no join and no shuffle is needed.
 """
 
@@ -9,11 +9,11 @@ from __future__ import annotations
 
 import unicodedata
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StringType
 
-from ..arrow import arrow_stage
 from ..functions.text import count_overlapping, numbered_lines, parse_line_ref, strip
 
 HIT = "struct<n int, refs array<string>>"
@@ -73,24 +73,28 @@ def scoped(lines: Column, line_ref: Column) -> Column:
     return F.when(line_ref.isNull(), lines).otherwise(F.filter(lines, lambda l: l["line_number"].between(p["start"], p["end"])))
 
 
-def composed(df: DataFrame, span: str, lines: str, wanted: str) -> DataFrame:
-    """df with _nspan and _nlines, span and lines in canonical composition, where wanted holds; null elsewhere."""
-    names = df.columns
-    nfc = lambda s: None if s is None else unicodedata.normalize("NFC", s)
+@F.pandas_udf(StringType())
+def nfc(texts: pd.Series) -> pd.Series:
+    """Canonical composition; null for null."""
+    return texts.map(lambda t: None if t is None else unicodedata.normalize("NFC", t))
+
 
-    def run(batch):
-        for i, want in enumerate(batch[wanted]):
-            row = tuple(batch[n][i] for n in names)
-            yield (*row, nfc(batch[span][i]), [{**l, "text": nfc(l["text"])} for l in batch[lines][i]]) if want else (*row, None, None)
+JOINT = "\x1e"
 
-    schema = StructType([*df.schema.fields, StructField("_nspan", StringType()), StructField("_nlines", df.schema[lines].dataType)])
-    return arrow_stage(df, schema, run)
+
+def composed(df: DataFrame, span: str, lines: str, wanted: str) -> DataFrame:
+    """df with _nspan and _nlines, span and lines in canonical composition, where wanted holds; null elsewhere. Only the
+    texts of wanted rows go to Python, as two strings."""
+    text = F.array_join(F.transform(lines, lambda l: l["text"]), JOINT)
+    both = df.withColumns({"_nspan": nfc(F.when(F.col(wanted), F.col(span))), "_ntext": nfc(F.when(F.col(wanted), text))})
+    again = F.zip_with(lines, F.split("_ntext", JOINT), lambda l, t: F.struct(l["line_number"].alias("line_number"), t.alias("text")))
+    return both.withColumn("_nlines", F.when(F.col(wanted) & (F.size(lines) > 0), again).when(F.col(wanted), F.col(lines))).drop("_ntext")
 
 
 def ground(df: DataFrame, span: str, lines: str, out: str, only: Column | None = None) -> DataFrame:
     """df with <out>_status (exact, ambiguous, nfc_equivalent, not_found, invalid_input), <out>_refs and <out>_n of the
     span in the lines (array of line_number and text). Rows outside `only` are not searched and get nulls. The row passes
-    straight through: three searches, and one Arrow stage for what they did not find."""
+    straight through: three searches, and one Arrow function for what they did not find."""
     ask = F.lit(True) if only is None else F.coalesce(only, F.lit(False))
     there = F.coalesce(F.col(span), F.lit("")) != ""
     base = df.withColumn("_ask", ask).withColumn("_span", F.when(ask & there, F.col(span)))
