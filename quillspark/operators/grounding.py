@@ -27,8 +27,8 @@ def objects_with_text(bridge: DataFrame, results: DataFrame, poems: DataFrame) -
 def grounded(objs: DataFrame) -> DataFrame:
     """objs with ref_status and the matches of the source span in its place (near_*), of spans lost there in all lines
     (far_*), and of the translated span (told_*)."""
-    o = objs.withColumn("ref_status", line_ref_status(F.col("line_ref"), F.size("lines")))
-    o = o.withColumn("scope", spans.scoped(F.col("lines"), F.when(F.col("ref_status") == "valid", F.col("line_ref"))))
+    o = spans.barrier(objs, "ref_status", line_ref_status(F.col("line_ref"), F.size("lines")))
+    o = spans.scoped(o, "lines", F.when(F.col("ref_status") == "valid", F.col("line_ref")), "scope")
     o = spans.ground(o, "source_span_original", "scope", "near", F.coalesce("source_span_original", F.lit("")) != "").drop("scope")
     o = spans.ground(o, "source_span_original", "lines", "far", (F.col("near_status") == "not_found") & (F.col("ref_status") == "valid"))
     return spans.ground(o, "source_span_translation", "t_lines", "told", F.coalesce("source_span_translation", F.lit("")) != "").drop("lines", "t_lines")

@@ -67,10 +67,12 @@ def search(df: DataFrame, span: str, lines: str, out: str) -> DataFrame:
     return barrier(first, out, F.when(rest, in_raw(s, ls)).otherwise(F.col("_first"))).drop("_first")
 
 
-def scoped(lines: Column, line_ref: Column) -> Column:
-    """The lines a valid reference names; all lines without one."""
-    p = parse_line_ref(line_ref)
-    return F.when(line_ref.isNull(), lines).otherwise(F.filter(lines, lambda l: l["line_number"].between(p["start"], p["end"])))
+def scoped(df: DataFrame, lines: str, line_ref: Column, out: str) -> DataFrame:
+    """df with the lines a reference names; all lines for a null one, none for a malformed one. The reference is parsed
+    once a row, outside the search through the lines."""
+    p = barrier(df, "_ref", F.struct(line_ref.isNull().alias("all"), parse_line_ref(line_ref).alias("p")))
+    a, b = F.col("_ref.p.start"), F.col("_ref.p.end")
+    return p.withColumn(out, F.when(F.col("_ref.all"), F.col(lines)).otherwise(F.filter(lines, lambda l: (l["line_number"] >= a) & (l["line_number"] <= b)))).drop("_ref")
 
 
 @F.pandas_udf(StringType())

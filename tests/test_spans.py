@@ -27,7 +27,7 @@ CASES = [
 
 def test_truth_table(spark):
     df = spark.createDataFrame([(i, *c[:3]) for i, c in enumerate(CASES)], "id int, text string, span string, ref string")
-    df = df.withColumn("lines", spans.scoped(spans.number_lines(F.col("text")), F.col("ref")))
+    df = spans.scoped(df.withColumn("every", spans.number_lines(F.col("text"))), "every", F.col("ref"), "lines")
     got = {r.id: (r.m_status, r.m_refs or []) for r in spans.ground(df, "span", "lines", "m").collect()}
     assert got == {i: (c[3], c[4]) for i, c in enumerate(CASES)}
 
