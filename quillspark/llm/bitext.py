@@ -34,7 +34,7 @@ RARE = 2e-5  # words in fewer than this share of the records (and under LEAST of
 LEAST = 4
 BEST = 4  # translations kept of a source word
 EPSILON, NULL_COST, ROUNDS = 0.08, 0.75, 60
-SHARE, LIKE = 0.3, 0.45  # least share of the lighter mass, least overlap, of a link
+SHARE, LIKE = 0.3, 0.58  # least share of the lighter mass, least overlap, of a link
 
 _PLAIN = {ord(a): b for a, b in LOOK_ALIKE.items()} | {ord(c): None for c in INVISIBLE}
 CLUSTERS = (("ch", "c"), ("sh", "s"), ("kh", "k"), ("gh", "g"), ("th", "t"), ("dh", "d"), ("ph", "p"), ("bh", "b"), ("w", "v"), ("q", "k"))
