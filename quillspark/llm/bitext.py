@@ -48,13 +48,23 @@ FUNCTION_WORDS = frozenset(
 OL_CHIKI_VOWELS = {"LA", "LAA", "LI", "LU", "LE", "LO"}
 
 
+_OTHER = re.compile("[" + "".join(map(re.escape, [*LOOK_ALIKE, *INVISIBLE])) + "]")
+
+
 def plain(text: str) -> str:
-    return unicodedata.normalize("NFC", text.translate(_PLAIN)).lower()
+    if not text.isascii():
+        if _OTHER.search(text):
+            text = text.translate(_PLAIN)
+        text = unicodedata.normalize("NFC", text)
+    return text.lower()
 
 
 def tokens(text: str) -> list[str]:
-    out = words(plain(text))
-    return [w if w.isascii() or not w[0].isdigit() else "".join(str(unicodedata.digit(c, c)) for c in w) for w in out]
+    return [w if w.isascii() or not w[0].isdigit() else digits(w) for w in words(plain(text))]
+
+
+def digits(w: str) -> str:
+    return "".join(str(unicodedata.digit(c, c)) for c in w)
 
 
 @lru_cache(maxsize=4096)
@@ -193,56 +203,98 @@ def fit_lexicon(df: DataFrame, src: str, tgt: str, glossary: DataFrame | None =
     return Lexicon(entries, frozenset(sv) | frozenset(t_n) | frozenset(r.word for r in rows), english)
 
 
+WEIGHT = {"~": 0.9}  # of a name, known by its skeleton only
+
+
 def overlap(src: list[list[dict[str, float]]], tgt: list[Counter]) -> np.ndarray:
-    """Overlap of sentence vectors: matched weight over the lighter vector's."""
+    """Overlap of sentence vectors: matched weight over the lighter vector's. A source word is matched once in each
+    target sentence, by its heaviest translation there, a target word as often as it occurs."""
     m = np.zeros((len(src), len(tgt)))
+    where: dict[str, list[tuple[int, int]]] = {}
     for j, t in enumerate(tgt):
-        nt = sum(t.values())
-        if not nt:
+        for e, n in t.items():
+            where.setdefault(e, []).append((j, n))
+    for i, s in enumerate(src):
+        got = [0.0] * len(tgt)
+        sure: dict[str, int] = {}
+        several = []
+        for es in s:
+            if len(es) == 1:
+                e = next(iter(es))
+                sure[e] = sure.get(e, 0) + 1
+            else:
+                several.append(es)
+        weight = WEIGHT.get
+        for e, k in sure.items():
+            for j, n in where.get(e, ()):
+                got[j] += (k if k < n else n) * weight(e[0], 1.0)
+        for es in several:
+            done = set()
+            for e in sorted(es, key=lambda x: -es[x]):
+                for j, n in where.get(e, ()):
+                    if j not in done and n > sure.get(e, 0):
+                        got[j] += es[e]
+                        done.add(j)
+        m[i] = got
+    sizes = np.minimum(np.array([len(s) for s in src])[:, None], np.array([sum(t.values()) for t in tgt]))
+    return np.minimum(m / np.maximum(sizes, 1), 1.0)
+
+
+def transports(likes: list[np.ndarray], masses: list[tuple[np.ndarray, np.ndarray]]) -> list[np.ndarray]:
+    """Sinkhorn plans of many records at once. Row and column 0 are null and take any mass at NULL_COST; records are
+    padded to common sizes with rows and columns of no mass."""
+    out: list = [None] * len(likes)
+    groups: dict[tuple[int, int], list[int]] = {}
+    for i, like in enumerate(likes):
+        groups.setdefault((-(-like.shape[0] // 4) * 4, -(-like.shape[1] // 4) * 4), []).append(i)
+    for (n, m), members in groups.items():
+        step = max(1, 200_000 // (n * m))
+        for at in range(0, len(members), step):
+            part = members[at : at + step]
+            cost = np.full((len(part), n + 1, m + 1), 1e3)
+            r, c = np.zeros((len(part), n + 1)), np.zeros((len(part), m + 1))
+            for k, i in enumerate(part):
+                (a, b), (x, y) = masses[i], likes[i].shape
+                cost[k, 1 : x + 1, 1 : y + 1] = 1 - likes[i]
+                cost[k, 0, 1 : y + 1] = cost[k, 1 : x + 1, 0] = NULL_COST
+                cost[k, 0, 0] = 0
+                r[k, 0], r[k, 1 : x + 1], c[k, 0], c[k, 1 : y + 1] = b.sum(), a, a.sum(), b
+            kern = np.exp(-cost / EPSILON)
+            v = (c > 0).astype(float)
+            for _ in range(ROUNDS):
+                u = r / np.maximum(np.matmul(kern, v[:, :, None])[:, :, 0], 1e-300)
+                v = c / np.maximum(np.matmul(u[:, None, :], kern)[:, 0, :], 1e-300)
+            plans = u[:, :, None] * kern * v[:, None, :]
+            for k, i in enumerate(part):
+                x, y = likes[i].shape
+                out[i] = plans[k, 1 : x + 1, 1 : y + 1]
+    return out
+
+
+def sentence_tokens(text: str, spans: list[tuple[int, int]]) -> list[list[str]]:
+    """Tokens of each sentence; the texts are brought to their plain form in one go."""
+    parts = plain("\0".join(text[a:b] for a, b in spans)).split("\0")
+    return [[w if w.isascii() or not w[0].isdigit() else digits(w) for w in words(p)] for p in parts]
+
+
+def align_all(pairs: list[tuple[str, str]], lex: Lexicon, bounds: BoundaryModel) -> list[list[tuple[int, int, int, int, float]]]:
+    """For each pair of texts, (src start, src end, tgt start, tgt end, share) of the linked sentences."""
+    out: list[list] = [[] for _ in pairs]
+    at, spans, likes, masses = [], [], [], []
+    for i, (s_text, t_text) in enumerate(pairs):
+        ss, ts = sentence_spans(s_text, bounds), sentence_spans(t_text, bounds)
+        if not ss or not ts:
             continue
-        for i, s in enumerate(src):
-            if s:
-                left = dict(t)
-                got = 0.0
-                for es in s:
-                    e = max((e for e in es if left.get(e, 0) > 0), key=es.get, default=None)
-                    if e is not None:
-                        left[e] -= 1
-                        got += es[e]
-                m[i, j] = got / min(len(s), nt)
-    return np.minimum(m, 1.0)
-
-
-def transport(like: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Sinkhorn plan with a null row and a null column that take any mass at NULL_COST."""
-    n, m = like.shape
-    cost = np.full((n + 1, m + 1), NULL_COST)
-    cost[:n, :m] = 1 - like
-    cost[n, m] = 0
-    k = np.exp(-cost / EPSILON)
-    r = np.append(a, b.sum())
-    c = np.append(b, a.sum())
-    v = np.ones(m + 1)
-    for _ in range(ROUNDS):
-        u = r / np.maximum(k @ v, 1e-300)
-        v = c / np.maximum(k.T @ u, 1e-300)
-    return (u[:, None] * k * v)[:n, :m]
-
-
-def align(src_text: str, tgt_text: str, lex: Lexicon, bounds: BoundaryModel) -> list[tuple[int, int, int, int, float]]:
-    """(src start, src end, tgt start, tgt end, share) of the linked sentences."""
-    ss, ts = sentence_spans(src_text, bounds), sentence_spans(tgt_text, bounds)
-    if not ss or not ts:
-        return []
-    sv = [lex.source(tokens(src_text[a:b])) for a, b in ss]
-    tv = [lex.target(tokens(tgt_text[a:b])) for a, b in ts]
-    a = np.array([len(x) for x in sv], dtype=np.float64)
-    b = np.array([sum(x.values()) for x in tv], dtype=np.float64)
-    like = overlap(sv, tv)
-    plan = transport(like, np.maximum(a, 0.5), np.maximum(b, 0.5))
-    lighter = np.minimum(np.maximum(a, 0.5)[:, None], np.maximum(b, 0.5))
-    share = plan / lighter
-    return [(*ss[i], *ts[j], float(min(share[i, j], 1))) for i, j in zip(*np.nonzero((share >= SHARE) & (like >= LIKE)))]
+        sv = [lex.source(x) for x in sentence_tokens(s_text.replace("\0", " "), ss)]
+        tv = [lex.target(x) for x in sentence_tokens(t_text.replace("\0", " "), ts)]
+        at.append(i)
+        spans.append((ss, ts))
+        likes.append(overlap(sv, tv))
+        masses.append((np.maximum([len(x) for x in sv], 0.5), np.maximum([sum(x.values()) for x in tv], 0.5)))
+    for i, (ss, ts), like, (a, b), plan in zip(at, spans, likes, masses, transports(likes, masses)):
+        share = plan / np.minimum(a[:, None], b)
+        out[i] = [(*ss[x], *ts[y], float(min(share[x, y], 1))) for x, y in zip(*np.nonzero((share >= SHARE) & (like >= LIKE)))]
+    return out
 
 
 def aligned_sentences(df: DataFrame, id_col: str, src: str, tgt: str, lex: Lexicon, bounds: BoundaryModel) -> DataFrame:
@@ -250,15 +302,15 @@ def aligned_sentences(df: DataFrame, id_col: str, src: str, tgt: str, lex: Lexic
     sentences in one), split (one source sentence in several) or mixed."""
 
     def link(batch):
-        for rid, s, t in zip(batch[id_col], batch["_s"], batch["_t"]):
-            if not s or not t:
-                continue
-            links = align(s, t, lex, bounds)
-            up, down = Counter(x[0] for x in links), Counter(x[2] for x in links)
-            for x in links:
-                many_t, many_s = up[x[0]] > 1, down[x[2]] > 1
-                yield rid, *x, "mixed" if many_s and many_t else "merge" if many_s else "split" if many_t else "one"
+        rows = [(rid, s, t) for rid, s, t in zip(batch["_id"], batch["_s"], batch["_t"]) if s and t]
+        for at in range(0, len(rows), 2000):
+            part = rows[at : at + 2000]
+            for (rid, _, _), links in zip(part, align_all([(s, t) for _, s, t in part], lex, bounds)):
+                up, down = Counter(x[0] for x in links), Counter(x[2] for x in links)
+                for x in links:
+                    many_t, many_s = up[x[0]] > 1, down[x[2]] > 1
+                    yield rid, *x, "mixed" if many_s and many_t else "merge" if many_s else "split" if many_t else "one"
 
     kind = df.schema[id_col].dataType.simpleString()
     schema = f"`{id_col}` {kind}, src_start long, src_end long, tgt_start long, tgt_end long, share double, kind string"
-    return arrow_stage(spread(df.select(id_col, F.col(src).alias("_s"), F.col(tgt).alias("_t"))), schema, link)
+    return arrow_stage(spread(df.select(F.col(id_col).alias("_id"), F.col(src).alias("_s"), F.col(tgt).alias("_t"))), schema, link)
