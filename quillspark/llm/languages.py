@@ -29,19 +29,9 @@ PENALTY = 8.0  # nats a further language of a document must gain
 SENTENCE_GAIN = 4.0  # nats by which one whole sentence must prefer a further language
 
 
-def grams(text: str, cache: dict[str, list[str]]) -> list[str]:
-    out: list[str] = []
-    for w in words(text.lower()):
-        g = cache.get(w)
-        if g is None:
-            p = f"<{w}>"
-            g = [p[i : i + n] for n in ORDERS for i in range(len(p) - n + 1) if n > 1 or p[i] not in "<>"]
-            g.append("=" + w)
-            if len(cache) > 200_000:
-                cache.clear()
-            cache[w] = g
-        out += g
-    return out
+def word_grams(w: str) -> list[str]:
+    p = f"<{w}>"
+    return [p[i : i + n] for n in ORDERS for i in range(len(p) - n + 1) if n > 1 or p[i] not in "<>"] + ["=" + w]
 
 
 class LanguageModels:
@@ -49,26 +39,38 @@ class LanguageModels:
 
     def __init__(self, names: list[str], index: dict[str, int], logp: np.ndarray) -> None:
         self.names, self.index, self.logp = names, index, logp
-        self.cache: dict[str, np.ndarray] = {}
+        self.known: dict[str, int] = {}
+        self.table = np.zeros((0, len(names)))
 
     def __reduce__(self):
         return LanguageModels, (self.names, self.index, self.logp)
 
-    def word_scores(self, w: str) -> np.ndarray:
-        v = self.cache.get(w)
-        if v is None:
-            ids = [self.index.get(g, 0) for g in grams(w, {})]
-            v = self.logp[ids].sum(axis=0, dtype=np.float64)
-            if len(self.cache) > 100_000:
-                self.cache.clear()
-            self.cache[w] = v
-        return v
-
-    def scores(self, text: str) -> np.ndarray:
-        total = np.zeros(len(self.names))
-        for w in words(text.lower()):
-            total += self.word_scores(w)
-        return total
+    def rows_of(self, ws: list[str]) -> np.ndarray:
+        """Scores of words, one row each, from a table of the words met so far."""
+        ids = []
+        for w in ws:
+            i = self.known.get(w)
+            if i is None:
+                if len(self.known) > 100_000:
+                    self.known.clear()
+                    return np.concatenate([self.rows_of(ws[k : k + 50_000]) for k in range(0, len(ws), 50_000)]) if len(ws) > 50_000 else self.rows_of(ws)
+                i = self.known[w] = len(self.known)
+                if i >= len(self.table):
+                    self.table = np.concatenate([self.table, np.zeros((max(1024, len(self.table)), len(self.names)))])
+                self.table[i] = self.logp[[self.index.get(g, 0) for g in word_grams(w)]].sum(axis=0, dtype=np.float64)
+            ids.append(i)
+        return self.table[ids]
+
+    def scores(self, texts: list[str]) -> np.ndarray:
+        """Log-likelihoods, texts x languages; zeros for a text without words."""
+        parts = [words(t.lower()) for t in texts]
+        sizes = np.array([len(p) for p in parts])
+        out = np.zeros((len(texts), len(self.names)))
+        if sizes.any():
+            rows = self.rows_of([w for p in parts for w in p])
+            full = np.flatnonzero(sizes)
+            out[full] = np.add.reduceat(rows, (np.cumsum(sizes) - sizes)[full], axis=0)
+        return out
 
 
 def fit_languages(labelled: list[tuple[DataFrame, str, str]], names: list[str]) -> LanguageModels:
@@ -78,20 +80,25 @@ def fit_languages(labelled: list[tuple[DataFrame, str, str]], names: list[str])
     fold = {n.casefold(): n for n in names}
     parts = None
     for df, text, label in labelled:
+        def expanded(by_word):
+            for lang, ws in by_word.items():
+                n: Counter = Counter()
+                for w, k in ws.items():
+                    for g in word_grams(w):
+                        n[g] += k
+                yield from ((lang, g, k) for g, k in n.items())
+
         def counted(feed):
-            n: dict[str, Counter] = {}
-            cache: dict[str, list[str]] = {}
+            by_word: dict[str, Counter] = {}
             for batch in feed:
                 for t, lab in zip(batch["t"], batch["lab"]):
                     lang = fold.get((lab or "").strip().casefold())
                     if lang and t:
-                        n.setdefault(lang, Counter()).update(grams(t, cache))
-                if sum(map(len, n.values())) > 400_000:
-                    for lang, c in n.items():
-                        yield from ((lang, g, k) for g, k in c.items())
-                    n = {}
-            for lang, c in n.items():
-                yield from ((lang, g, k) for g, k in c.items())
+                        by_word.setdefault(lang, Counter()).update(words(t.lower()))
+                if sum(map(len, by_word.values())) > 200_000:
+                    yield from expanded(by_word)
+                    by_word = {}
+            yield from expanded(by_word)
 
         p = partition_stage(df.select(F.col(text).alias("t"), F.expr(label).alias("lab")), "lang string, gram string, n long", counted)
         parts = p if parts is None else parts.unionByName(p)
@@ -149,6 +156,8 @@ def choose_languages(ll: np.ndarray, penalty: float = PENALTY) -> tuple[list[int
             break
         chosen.append(j)
         best = value
+    if len(chosen) == 1:
+        return chosen, np.ones((len(ll), 1))
     pi, _ = mixture(ll[:, chosen])
     post = np.exp(ll[:, chosen] - ll[:, chosen].max(axis=1, keepdims=True)) * pi
     post /= post.sum(axis=1, keepdims=True)
@@ -164,7 +173,7 @@ def stretches_of(text: str, models: LanguageModels, boundaries: BoundaryModel) -
     spans = sentence_spans(text, boundaries)
     if not spans:
         return []
-    ll = np.stack([models.scores(text[a:b]) for a, b in spans])
+    ll = models.scores([text[a:b] for a, b in spans])
     quiet = ~ll.any(axis=1)
     if quiet.all():
         return [(spans[0][0], spans[-1][1], models.names[0], 1 / len(models.names))]
