@@ -40,18 +40,25 @@ def window_minima(h: np.ndarray, run: int, shingle: int) -> tuple[np.ndarray, np
     return low, g
 
 
-def passages(ws: list[str], h: np.ndarray, run: int, shingle: int, wanted: np.ndarray | None):
-    """(minimum, words of the windows that have it), one per run of windows with one minimum."""
+def passages(texts: list[list[str]], h: np.ndarray, run: int, shingle: int, wanted: np.ndarray | None):
+    """(text number, minimum, words of the windows that have it), one per run of windows with one minimum. All texts of
+    a batch are searched at once; windows across their ends are left out."""
+    sizes = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
     low, _ = window_minima(h, run, shingle)
+    owner = np.repeat(np.arange(len(texts)), sizes)[: len(low)]
+    inside = np.arange(len(low)) + run <= np.cumsum(sizes)[owner]
     if wanted is not None:
-        at = np.minimum(np.searchsorted(wanted, low), len(wanted) - 1)
-        hit = wanted[at] == low
-        if not hit.any():
-            return
-    edge = np.flatnonzero(np.concatenate(([True], low[1:] != low[:-1], [True])))
-    for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()):
-        if wanted is None or hit[a]:
-            yield int(low[a].astype(np.int64)), " ".join(ws[a : b - 1 + run])
+        inside &= wanted[np.minimum(np.searchsorted(wanted, low), len(wanted) - 1)] == low
+    at = np.flatnonzero(inside)
+    if not len(at):
+        return
+    new = np.concatenate(([True], (at[1:] != at[:-1] + 1) | (low[at[1:]] != low[at[:-1]]) | (owner[at[1:]] != owner[at[:-1]])))
+    firsts = np.flatnonzero(new)
+    lasts = np.concatenate((firsts[1:], [len(at)])) - 1
+    starts = np.concatenate(([0], np.cumsum(sizes)))
+    for a, b in zip(at[firsts].tolist(), at[lasts].tolist()):
+        k = int(owner[a])
+        yield k, int(low[a].astype(np.int64)), " ".join(texts[k][a - starts[k] : b - starts[k] + run])
 
 
 def minima(df: DataFrame, id_col: str, text_col: str, mapping: dict[str, str], run: int, wanted: np.ndarray | None = None) -> DataFrame:
@@ -59,15 +66,19 @@ def minima(df: DataFrame, id_col: str, text_col: str, mapping: dict[str, str], r
     shingle = min(SHINGLE, run)
 
     def scan(batch):
+        ids, texts = [], []
         for rid, text in zip(batch["_id"], batch["_text"]):
-            if rid is None or not text:
-                continue
-            ws = words(rw(text).lower())
-            if len(ws) < run:
-                continue
-            h = np.fromiter((hasher.word(w) for w in ws), dtype=np.uint64, count=len(ws))
-            for low, passage in passages(ws, h, run, shingle, wanted):
-                yield rid, low, passage, int(len(ws)).bit_length() - 1
+            if rid is not None and text:
+                ws = words(rw(text).lower())
+                if len(ws) >= run:
+                    ids.append(rid)
+                    texts.append(ws)
+        if not texts:
+            return
+        known, word = hasher.cache, hasher.word
+        h = np.fromiter((known.get(w) or word(w) for ws in texts for w in ws), dtype=np.uint64)
+        for k, low, passage in passages(texts, h, run, shingle, wanted):
+            yield ids[k], low, passage, len(texts[k]).bit_length() - 1
 
     kind = df.schema[id_col].dataType.simpleString()
     return arrow_stage(spread(df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))), f"id {kind}, low long, passage string, size_class int", scan)
