@@ -5,8 +5,8 @@ sample without replacement), u from a hash of id and seed, w the quality weight.
 total; complete epochs, every text once, come first, then the texts in key order whose running token sum fits the rest.
 
 Running sums are taken in two steps, over buckets of keys and within a bucket, so a hot source is spread over BUCKETS
-tasks. Equal texts under other ids or sources are one text, the row of the smallest id, so none is used more than
-max_repeats times.
+tasks. Equal texts under other ids or sources are one text, the row of the smallest id among the sources with a target,
+so none is used more than max_repeats times.
 
 Defined results: null and blank texts and texts of sources without a target are left out; a target source without texts
 contributes nothing and its share is spread over the others; null weights count as the least weight; budgets that
@@ -45,9 +45,10 @@ def mix(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_col: s
     counted = count_tokens(texts, "text", ["id", "source", "w", "text_key"], {"n_tokens": counter or BpeCounter()})
     t = targets.select(folded("source").alias("source"), "target_share", "max_repeats").where("target_share > 0 and source is not null")
     t = t.groupBy("source").agg(F.sum("target_share").alias("target_share"), F.max("max_repeats").alias("max_repeats"))
-    one = counted.groupBy("text_key").agg(F.min_by(F.struct("id", "source", "w", "n_tokens"), F.struct("id", "source")).alias("r")).select("r.*")
+    wanted = counted.join(t.select("source"), "source", "left_semi")  # before the choice: a text is kept if any target source holds it
+    one = wanted.groupBy("text_key").agg(F.min_by(F.struct("id", "source", "w", "n_tokens"), F.struct("id", "source")).alias("r")).select("r.*")
     u = (F.shiftrightunsigned(F.xxhash64(F.col("id").cast("string"), F.lit(seed)), 11) + 0.5) / float(1 << 53)
-    keyed = one.join(t.select("source"), "source", "left_semi").select(
+    keyed = one.select(
         "id", "source", "n_tokens", (-F.log(u) / F.greatest(F.coalesce("w", F.lit(LEAST_WEIGHT)), F.lit(LEAST_WEIGHT))).alias("key")
     )
     keyed = written(keyed.withColumn("bucket", F.floor(F.col("key") / (1 + F.col("key")) * BUCKETS)), "mix")

@@ -105,6 +105,15 @@ def test_mix(spark):
     assert abs(few["big"] - 300) < 40 and abs(few["small"] - 600) < 40
 
 
+def test_mix_keeps_texts_first_seen_outside_the_targets(spark):
+    docs = [(1, "other", "shared one"), (2, "big", "shared one"), (3, None, "shared two"), (4, "big", "shared two"), (5, "small", "shared two"), (6, "other", "only there")]
+    df = spark.createDataFrame(docs, "doc_id long, source string, text string")
+    t = spark.createDataFrame([("big", 0.5, 1), ("small", 0.5, 1)], "source string, target_share double, max_repeats int")
+    chosen, shares = mixing.mix(df, t)
+    assert {(r.doc_id, r.source, r.copies) for r in chosen.collect()} == {(2, "big", 1), (4, "big", 1)}
+    assert {r.source: r.texts for r in shares.collect()} == {"big": 2, "small": 0}
+
+
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_queries_run(spark, data, name):
     assert queries.QUERIES[name](spark, data).count() > 0
