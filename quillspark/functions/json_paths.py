@@ -166,13 +166,14 @@ def apply_patches(document: object, patches: list[tuple[str, object]], requested
     return (document, [(p, "stray_change") for p in stray]) if stray else (out, [])
 
 
-def values_at(df: DataFrame, keep: list[str], json_col: str, path_col: str) -> DataFrame:
-    """Kept columns with status (found or the path error) and the value at each row's path as JSON text."""
+def values_at(df: DataFrame, keep: list[str], json_col: str, path_col: str, load=json.loads, locate=str) -> DataFrame:
+    """Kept columns with status (found or the path error) and the value at each row's path as JSON text. load reads a
+    text (ValueError: bad_json), locate gives the path to walk in what it read."""
     def read(batch):
         for i, (text, path) in enumerate(zip(batch["_json"], batch["_path"])):
             row = tuple(batch[k][i] for k in keep)
             try:
-                yield (*row, "found", json.dumps(walk(json.loads(text), path or ""), ensure_ascii=False, sort_keys=True))
+                yield (*row, "found", json.dumps(walk(load(text), locate(path or "")), ensure_ascii=False, sort_keys=True))
             except PathError as e:
                 yield (*row, e.code, None)
             except (TypeError, ValueError, RecursionError):
@@ -182,12 +183,12 @@ def values_at(df: DataFrame, keep: list[str], json_col: str, path_col: str) -> D
     return arrow_stage(df.select(*keep, F.col(json_col).alias("_json"), F.col(path_col).alias("_path")), schema, read)
 
 
-def leaf_rows(df: DataFrame, keep: list[str], json_col: str) -> DataFrame:
-    """Kept columns with (path, value) of every leaf; unreadable JSON gives no row."""
+def leaf_rows(df: DataFrame, keep: list[str], json_col: str, load=json.loads) -> DataFrame:
+    """Kept columns with (path, value) of every leaf; text that load cannot read gives no row."""
     def read(batch):
         for i, text in enumerate(batch["_json"]):
             try:
-                rows = leaves(json.loads(text))
+                rows = leaves(load(text))
             except (TypeError, ValueError, RecursionError):
                 continue
             for p, v in rows:

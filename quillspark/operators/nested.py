@@ -85,6 +85,42 @@ def full_keys(obj: dict, kind: str) -> dict:
     return out
 
 
+def full_object(obj: dict, kind: str) -> dict:
+    """The object with full keys, in all objects below too, and a list of one where an object stands for a list."""
+    lists, singles = CHILD_LISTS.get(kind, {}), CHILD_OBJECTS.get(kind, {})
+    out = {}
+    for name, value in full_keys(obj, kind).items():
+        if name in lists and isinstance(value, (dict, list)):
+            many = [value] if isinstance(value, dict) else value
+            value = [full_object(x, lists[name]) if isinstance(x, dict) else x for x in many]
+        elif name in singles and isinstance(value, dict):
+            value = full_object(value, singles[name])
+        out[name] = value
+    return out
+
+
+def read_annotation(text: str | None) -> dict:
+    """The annotation in a delivered text, in full form; ValueError if there is none."""
+    tree = parse_annotation(text)
+    if tree is None:
+        raise ValueError("no annotation")
+    return full_object(tree, "annotation")
+
+
+def full_path(path: str) -> str:
+    """A path in the notation key[n].key with full keys; a list without a position before a key is its first element."""
+    kind, out, parts = "annotation", [], path.split(".")
+    for n, part in enumerate(parts):
+        key, bracket, index = part.partition("[")
+        name, at = COMPACT.get(kind, {}).get(key, key), bracket + index
+        lists, singles = CHILD_LISTS.get(kind, {}), CHILD_OBJECTS.get(kind, {})
+        if name in lists and not at and n + 1 < len(parts):
+            at = "[0]"
+        kind = lists.get(name) or singles.get(name) or ""
+        out.append(name + at)
+    return ".".join(out)
+
+
 def digest(*parts: str) -> str:
     return hashlib.sha256("\0".join(parts).encode("utf-8", "surrogatepass")).hexdigest()
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import json_paths
-from ..operators import planning
+from ..operators import nested, planning
 from ..session import table
 from ..streaming import calls
 
@@ -16,15 +16,16 @@ def repaired_annotations(spark, d):
 
 
 def issue_values(spark, d):
+    """The value each issue's path names, in the annotation's full form whatever shape it was delivered in."""
     i = table(spark, d, "invalid_path_issues").where("field_path IS NOT NULL").select("result_id", "issue_id", planning.plain_path(F.col("field_path")).alias("path"))
     v = table(spark, d, "validation_results").select("result_id", "normalized_annotation")
-    return json_paths.values_at(i.join(v, "result_id"), ["result_id", "issue_id", "path"], "normalized_annotation", "path")
+    return json_paths.values_at(i.join(v, "result_id"), ["result_id", "issue_id", "path"], "normalized_annotation", "path", nested.read_annotation, nested.full_path)
 
 
 def attempt_differences(spark, d):
-    """Leaves in which two attempts at one poem differ: full outer join of their leaves by path."""
+    """Leaves in which two attempts at one poem differ: full outer join by path of the leaves of their full forms."""
     v = table(spark, d, "validation_results").select("poem_id", "attempt_no", "normalized_annotation")
-    leaves = json_paths.leaf_rows(v, ["poem_id", "attempt_no"], "normalized_annotation")
+    leaves = json_paths.leaf_rows(v, ["poem_id", "attempt_no"], "normalized_annotation", nested.read_annotation)
     both = leaves.groupBy("poem_id").agg(F.min("attempt_no").alias("a"), F.max("attempt_no").alias("b")).where("a < b")
     a = leaves.join(both, "poem_id").where("attempt_no = a").select("poem_id", "path", F.col("value").alias("before"))
     b = leaves.join(both, "poem_id").where("attempt_no = b").select("poem_id", "path", F.col("value").alias("after"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from quillspark.functions import json_paths as jp
 from quillspark.operators import calls, corpus, nested, planning, vectors
+from quillspark.plans import records
 from quillspark.sources import sinks, tables
 
 ANN = {"recitation_style": "lament", "stanzas": [{"index": 1, "metaphor_spans": {"vehicle": "a", "metaphor_mapping": {"vehicle_concept": "x"}}}, None, {"index": 3, "metaphor_spans": [None, {"vehicle": "b"}], "translation_loss": [{"severity": "low"}]}], "cultural_entities": [{"term": "t"}, {"term": "t"}]}
@@ -34,6 +35,37 @@ def test_broken_null_empty_and_compact(spark):
     assert nested.distinct_objects(bridge(spark, [])).count() == 0
 
 
+SHAPES = {"plain": json.dumps, "indented": lambda a: json.dumps(a, indent=1), "fence": lambda a: "```json\n" + json.dumps(a) + "\n```", "string": lambda a: json.dumps(json.dumps(a)),
+          "wrapper": lambda a: json.dumps({"schema_version": "1.1", "annotation": a})}
+
+
+def delivered(spark, tmp_path, rows, issues=()):
+    spark.createDataFrame(rows, "result_id long, poem_id string, attempt_no int, normalized_annotation string").write.parquet(f"{tmp_path}/validation_results.parquet")
+    spark.createDataFrame(list(issues), "issue_id long, result_id long, field_path string").write.parquet(f"{tmp_path}/invalid_path_issues.parquet")
+    return str(tmp_path)
+
+
+def test_issue_values_in_every_shape(spark, tmp_path):
+    a = {"recitation_style": "lament", "stanzas": [{"index": 1, "emotion": "grief", "metaphor_spans": {"source_term": "a"}}]}
+    c = {"rs": "lament", "st": [{"i": 1, "em": "grief", "ms": {"src": "a"}}]}
+    texts = [w(a) for w in SHAPES.values()] + [w(c) for w in SHAPES.values()] + [json.dumps(a)[:-7], None]
+    paths = {"stanzas[0].emotion": '"grief"', "/annotation/stanzas/0/metaphor_spans/0/source_term": '"a"', "stanzas[0].metaphor_spans.source_term": '"a"', "st[0].em": '"grief"', "stanzas[0].tone": None}
+    issues = [(r * 10 + n, r, p) for r in range(len(texts)) for n, p in enumerate(paths)]
+    d = delivered(spark, tmp_path, [(r, f"p{r}", 1, t) for r, t in enumerate(texts)], issues)
+    got = {r.issue_id: (r.status, r.value) for r in records.issue_values(spark, d).collect()}
+    for i, r, p in issues:
+        v = paths[p]
+        assert got[i] == (("bad_json", None) if r >= len(texts) - 2 else ("found", v) if v else ("missing_key", None)), (r, p)
+
+
+def test_attempts_differ_by_content_not_shape(spark, tmp_path):
+    a = {"recitation_style": "lament", "stanzas": [{"index": 1, "emotion": "grief"}]}
+    c = {"rs": "lament", "st": [{"i": 1, "em": "fear"}]}
+    rows = [(n, k, no, t) for n, (k, no, t) in enumerate(x for k, w in SHAPES.items() for x in ((k, 1, json.dumps(a)), (k, 2, w(a)), ("c" + k, 1, json.dumps(a)), ("c" + k, 2, w(c))))]
+    got = {tuple(r) for r in records.attempt_differences(spark, delivered(spark, tmp_path, rows)).select("poem_id", "path", "before", "after").collect()}
+    assert got == {("c" + k, "stanzas[0].emotion", '"grief"', '"fear"') for k in SHAPES}
+
+
 def test_identical_subtrees_share_a_hash(spark):
     b = bridge(spark, [json.dumps(ANN), json.dumps(ANN | {"theme": "x"})])
     h = {(r.result_id, r.object_path): r.object_hash for r in b.collect()}
