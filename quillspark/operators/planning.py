@@ -82,14 +82,25 @@ def reliability(n: Column) -> Column:
 
 def split_parts(packed_units: DataFrame, key: str, preferred: int = vocab.PREFERRED_PARTS, cap: int = vocab.PART_PATHS) -> DataFrame:
     """(<key>, part_index, n_parts, reason, n_units, paths): balanced contiguous parts; as many as preferred unless there
-    are fewer units or the cap needs more. Keys with a unit above the cap cannot be split and give no part."""
-    fits = packed_units.where(~F.exists("units", lambda u: F.size(u["paths"]) > cap))
+    are fewer units or the cap needs more. A key with a unit above the cap cannot be split: it gives one row with reason
+    unit_over_cap, all its paths, no part_index and 0 parts."""
+    over = F.exists("units", lambda u: F.size(u["paths"]) > cap)
     need = F.array_max(batch_numbers(F.col("units"), cap, 1 << 30))
     n = F.size("units")
-    p = fits.withColumn("need", need).withColumn("n_parts", F.when(n < preferred, n).when(F.col("need") > preferred, F.col("need")).otherwise(F.lit(preferred)))
-    p = p.withColumn("reason", F.when(n < preferred, "fewer_units").when(F.col("need") > preferred, "cap_needs_more"))
+    p = packed_units.withColumns({"need": need, "over": over})
+    p = p.withColumn("n_parts", F.when(F.col("over"), 1).when(n < preferred, n).when(F.col("need") > preferred, F.col("need")).otherwise(F.lit(preferred)))
+    p = p.withColumn("reason", F.when(F.col("over"), "unit_over_cap").when(n < preferred, "fewer_units").when(F.col("need") > preferred, "cap_needs_more"))
     base, extra = F.floor(n / F.col("n_parts")), n % F.col("n_parts")
     big = extra * (base + 1)
     part = lambda i: F.when(i < big, F.floor(i / (base + 1))).otherwise(extra + F.floor((i - big) / base)).cast("int")
-    z = p.select(key, "n_parts", "reason", F.inline(F.transform("units", lambda u, i: F.struct((part(i) + 1).alias("part_index"), u["paths"].alias("ps")))))
+    z = p.select(key, "over", "n_parts", "reason", F.inline(F.transform("units", lambda u, i: F.struct((part(i) + 1).alias("part_index"), u["paths"].alias("ps")))))
+    z = z.withColumns({"part_index": F.when(~F.col("over"), F.col("part_index")), "n_parts": F.when(F.col("over"), 0).otherwise(F.col("n_parts"))})
     return z.groupBy(key, "part_index", "n_parts", "reason").agg(F.count("*").alias("n_units"), F.array_sort(F.flatten(F.collect_list("ps"))).alias("paths"))
+
+
+def uncovered(asked: DataFrame, parts: DataFrame, key: str) -> DataFrame:
+    """(<key>, path, n): asked paths that are not in exactly one part, those of keys that could not be split included,
+    and paths of parts that were not asked."""
+    used = parts.where("part_index IS NOT NULL").select(key, F.explode("paths").alias("path")).groupBy(key, "path").agg(F.count("*").alias("n"))
+    asked = asked.select(key, "path", F.lit(True).alias("asked")).distinct()
+    return asked.join(used, [key, "path"], "full").where("n IS NULL OR n <> 1 OR asked IS NULL").select(key, "path", "n")

@@ -52,20 +52,37 @@ def full_batches(spark, d):
         "result_id", "n_batches", "n_paths", planning.reliability(F.col("n_batches")).alias("reliability"), ledger.token_tier(F.col("n_paths")).alias("token_budget"))
 
 
+def overlay(parts):
+    return parts.select("result_id", "part_index", "n_parts", "reason", "n_units", F.array_join("paths", ";").alias("paths"))
+
+
+def small_parts(spark, d):
+    """The parts at CAP_PART, as its SQL has them: without results that cannot be split; full_split has a row for those."""
+    return planning.split_parts(packed(spark, d), "result_id", cap=CAP_PART).where("part_index IS NOT NULL")
+
+
 def split_overlay(spark, d):
-    s = planning.split_parts(packed(spark, d), "result_id", cap=CAP_PART)
-    return s.select("result_id", "part_index", "n_parts", "reason", "n_units", F.array_join("paths", ";").alias("paths"))
+    return overlay(small_parts(spark, d))
 
 
 def coverage_faults(spark, d):
-    """Paths that are not in exactly one part, of results that could be split."""
-    parts = planning.split_parts(packed(spark, d), "result_id", cap=CAP_PART)
-    used = parts.select("result_id", F.explode("paths").alias("path")).groupBy("result_id", "path").agg(F.count("*").alias("n"))
-    asked = issue_paths(spark, d).select("result_id", "path").distinct().join(parts.select("result_id").distinct(), "result_id", "left_semi")
-    return asked.join(used, ["result_id", "path"], "full").where("n IS NULL OR n <> 1").select("result_id", "path", "n")
+    """Paths that are not in exactly one part, of results that could be split; full_coverage is about all results."""
+    parts = small_parts(spark, d)
+    asked = issue_paths(spark, d).join(parts.select("result_id").distinct(), "result_id", "left_semi")
+    return planning.uncovered(asked, parts, "result_id")
+
+
+def full_split(spark, d):
+    """Every result at the production cap: its parts, or one row with reason unit_over_cap."""
+    return overlay(planning.split_parts(packed(spark, d), "result_id"))
+
+
+def full_coverage(spark, d):
+    """Paths that are not in exactly one part at the production cap, of all results."""
+    return planning.uncovered(issue_paths(spark, d), planning.split_parts(packed(spark, d), "result_id"), "result_id")
 
 
-QUERIES = {f.__name__: f for f in (path_classes, backfill_plans, repair_rules, repair_batches, full_batches, split_overlay, coverage_faults)}
+QUERIES = {f.__name__: f for f in (path_classes, backfill_plans, repair_rules, repair_batches, full_batches, split_overlay, coverage_faults, full_split, full_coverage)}
 
 PATHS = r"""ip0 AS (SELECT result_id, issue_id, validation_reason, regexp_replace(regexp_replace(replace(trim(field_path, ' '), '/', '.'), '^\$', ''), '^\.', '') AS p FROM invalid_path_issues WHERE trim(field_path, ' ') <> ''),
 ip AS (SELECT result_id, issue_id, validation_reason, regexp_replace(regexp_replace(p, '\.([0-9]+)', '[\1]', 'g'), '^annotation(\.|$)', '') AS path FROM ip0)"""

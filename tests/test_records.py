@@ -161,6 +161,20 @@ def test_packing_equals_a_loop(spark):
     assert sorted((r.k, p) for r in parts.collect() for p in r.paths) == sorted(set(rows))
 
 
+def test_results_with_a_unit_over_the_cap_are_reported(spark, tmp_path):
+    """Result 1 has one unit of 21 paths and a fitting one, 2 splits into three parts, 3 has two units."""
+    from quillspark.plans import planning as plans
+
+    big = [(1, f"cultural_entities[0].f{j}") for j in range(21)] + [(1, "stanzas[0].emotion")]
+    rest = [(2, f"stanzas[{i}].emotion") for i in range(3)] + [(3, f"stanzas[{i}].tone") for i in range(2)]
+    rows = [(n, r, p, None) for n, (r, p) in enumerate(big + rest)]
+    spark.createDataFrame(rows, "issue_id long, result_id long, field_path string, validation_reason string").write.parquet(f"{tmp_path}/invalid_path_issues.parquet")
+    got = {(r.result_id, r.part_index, r.n_parts, r.reason, r.n_units, len(r.paths.split(";"))) for r in plans.full_split(spark, str(tmp_path)).collect()}
+    assert got == {(1, None, 0, "unit_over_cap", 2, 22), *((2, i, 3, None, 1, 1) for i in (1, 2, 3)), *((3, i, 2, "fewer_units", 1, 1) for i in (1, 2))}
+    faults = plans.full_coverage(spark, str(tmp_path)).collect()
+    assert {(r.result_id, r.path, r.n) for r in faults} == {(r, p, None) for r, p in big} and len(faults) == 22
+
+
 def test_deal_is_fair_and_ordered(spark):
     rows = [("Hindi" if i % 3 else "Tamil", f"id_{i:05d}") for i in range(1000)]
     got = {r.id: r.worker for r in corpus.deal(spark.createDataFrame(rows, "lang string, id string"), F.col("lang"), "id", 3).collect()}
