@@ -1,7 +1,8 @@
 """Problem 5: sentence alignment of rough translations.
 
-A translation lexicon is learned from all records: for every source word, the share of its records whose translation
-holds an English word, in excess of that word's share overall. Sentence vectors are bags of English words: the words
+A translation lexicon is learned from all records, equal pairs of texts counting once: for every source word, the share
+of its pairs whose translation holds an English word, in excess of that word's share overall. Candidates that tie are
+kept together; a word with more than BEST best ones is left to the glossary. Sentence vectors are bags of English words: the words
 themselves on the English side, the lexicon's translations on the source side, with numbers and the consonant skeletons
 of names on both. Each record then solves entropic optimal transport between its sentences: masses are content words,
 costs fall with the overlap of the vectors, and a null row and column take up omitted and added sentences at a fixed
@@ -23,7 +24,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import spread
+from ..session import spread, written
 from ..arrow import arrow_stage, partition_stage
 from .lookalike import INVISIBLE, LOOK_ALIKE
 from .sentences import BoundaryModel, sentence_spans
@@ -32,7 +33,7 @@ from .words import words
 EXCESS = 0.3  # least excess share of a translation
 RARE = 2e-5  # words in fewer than this share of the records (and under LEAST of them) are names, not vocabulary
 LEAST = 4
-BEST = 4  # translations kept of a source word
+BEST = 4  # translations kept of a source word, and those that tie with the last
 EPSILON, NULL_COST, ROUNDS = 0.08, 0.75, 60
 SHARE, LIKE = 0.3, 0.58  # least share of the lighter mass, least overlap, of a link
 
@@ -132,10 +133,19 @@ class Lexicon:
         return out
 
 
+def candidates(excess: np.ndarray) -> np.ndarray:
+    """Places of the BEST greatest values and of all that tie with the last of them; none where more than BEST are greatest."""
+    if len(excess) <= BEST:
+        return np.argsort(-excess, kind="stable")
+    if (excess >= excess.max() - 1e-9).sum() > BEST:
+        return np.empty(0, dtype=np.int64)
+    return np.flatnonzero(excess >= np.partition(excess, -BEST)[-BEST] - 1e-9)
+
+
 def fit_lexicon(df: DataFrame, src: str, tgt: str, glossary: DataFrame | None = None) -> Lexicon:
-    """Counts cover all records. Vocabulary and lexicon, bounded by the languages, reach the driver; the co-occurrence
+    """Counts cover the distinct pairs of texts of all records. Vocabulary and lexicon, bounded by the languages, reach the driver; the co-occurrence
     counts are summed per partition as matrices and, for each source word, in one task each."""
-    pairs = spread(df.where(f"trim({src}) <> '' and trim({tgt}) <> ''").select(F.col(src).alias("s"), F.col(tgt).alias("t")))
+    pairs = spread(written(df.where(f"trim({src}) <> '' and trim({tgt}) <> ''").select(F.col(src).alias("s"), F.col(tgt).alias("t")).distinct(), "pairs"))
 
     def frequencies(feed):
         n: Counter = Counter()
@@ -182,7 +192,7 @@ def fit_lexicon(df: DataFrame, src: str, tgt: str, glossary: DataFrame | None =
             share = v / n
             excess = (share - base) / np.maximum(1 - base, 1e-6)
             z = (share - base) / np.sqrt(base * (1 - base) / n + 1e-9)
-            for j in np.argsort(-excess)[:BEST]:
+            for j in candidates(excess):
                 if excess[j] >= EXCESS and z[j] >= 3.5:
                     yield sv[i], tv[j], float(excess[j])
 

@@ -187,6 +187,21 @@ def test_alignment_of_shuffled_merged_split_and_dropped(spark):
     assert straight > 0.97 * 1500 and not [r for r in links if r.id in ("null", "blank")]
 
 
+def test_copies_and_ties_teach_no_words(spark):
+    rnd = random.Random(8)
+    rows = []
+    for _ in range(200):
+        k = rnd.sample(range(30), 4)
+        rows.append((" ".join(f"शब्द{chr(0x915 + i)}" for i in k), " ".join("word" + chr(97 + i % 26) * (1 + i // 26) for i in k)))
+    rows += [("कमलिनी सरोवरी", "lotus pond bright morning calm water")] * 100  # one record under many ids
+    rows += [(f"नदिया शब्द{chr(0x915 + i)}", f"river bank stone boat reed {'word' + chr(97 + i)}") for i in range(6)]  # five words that always come together
+    df = spark.createDataFrame(rows, "s string, t string")
+    entries = bitext.fit_lexicon(df, "s", "t", spark.createDataFrame([("नदिया", "river")], "term string, gloss string")).entries
+    assert not {"कमलिनी", "सरोवरी"} & entries.keys()
+    assert entries["नदिया"] == {"river": 1.0}
+    assert all(entries[f"शब्द{chr(0x915 + i)}"] == {"word" + chr(97 + i % 26) * (1 + i // 26): 1.0} for i in range(30))
+
+
 def test_skeletons_of_names():
     for native, latin in [("गलोका", "Galokā"), ("চয়েবা", "Chayebā"), ("பொஜெ", "Poje"), ("ꯁꯒꯤꯅꯤ", "Sagini")]:
         a, b = bitext.skeleton(native), bitext.skeleton(latin.lower())
