@@ -5,7 +5,8 @@ signs beyond ASCII); the channel encodes a span as UTF-8 or in a single-byte enc
 to twice, and may lose bytes, which then stand as U+FFFD. For every run of characters that can be images of bytes above
 0x7F, a Viterbi search over a byte lattice chooses between keeping a character and reading several as the bytes of one;
 its states are the encodings, entering one costs CHANNEL nats, and a lost byte is a wildcard. Single-byte confusions and
-words with lost bytes are decided by the frequencies of whole words.
+words with lost bytes are decided by the frequencies of whole words. Copies of a damaged text do not make it more likely:
+log-frequencies of characters, and a second comparison of words, count equal texts once.
 
 Defined results: null and blank texts are undamaged; a text with U+FFFD is damaged even where nothing can be restored;
 accents, rare signs and other scripts alone are no damage; ties keep the text as it is.
@@ -70,12 +71,13 @@ def one_script(w: str) -> bool:
 
 
 class Channel:
-    """Log-frequencies of characters and of words beyond ASCII."""
+    """Log-frequencies of characters and of words beyond ASCII. chars and words count rows, once_chars and once_words
+    distinct texts."""
 
-    def __init__(self, chars: dict[str, int], words: dict[str, int]) -> None:
-        self.chars, self.words = chars, words
-        self.total = sum(chars.values()) + 1
-        self.floor = math.log(0.05 / self.total)
+    def __init__(self, chars: dict[str, int], words: dict[str, int], once_chars: dict[str, int], once_words: dict[str, int]) -> None:
+        self.chars, self.words, self.once_chars, self.once_words = chars, words, once_chars, once_words
+        self.total = sum(once_chars.values()) + 1
+        self.floor = math.log(0.05 / (sum(chars.values()) + 1))
         self.memo: dict[str, tuple[str, frozenset]] = {}
         self.lost: dict[str, str] = {}
         self.tokens: dict[str, tuple[str, str]] = {}
@@ -85,10 +87,10 @@ class Channel:
                 self.lost["".join(c if c.isascii() else LOST for c in w)] = w
 
     def __reduce__(self):
-        return Channel, (self.chars, self.words)
+        return Channel, (self.chars, self.words, self.once_chars, self.once_words)
 
     def logp(self, c: str) -> float:
-        n = self.chars.get(c, 0)
+        n = self.once_chars.get(c, 0)
         return math.log(n / self.total) if n else self.floor
 
     # --- UTF-8 read in a single-byte encoding -------------------------------------------------------------------
@@ -212,9 +214,12 @@ class Channel:
             got = self.tokens[token] = self._word(token)
         return got
 
+    def likelier(self, word: str, read: str) -> bool:
+        """Whether a word is so much more frequent than the word read, by rows or by distinct texts."""
+        return any(n.get(word, 0) >= LEAST_WORDS and n[word] > WORD_RATIO * (n.get(read, 0) + 0.2) for n in (self.words, self.once_words))
+
     def _word(self, token: str) -> tuple[str, str]:
         key = token.lower()
-        seen = self.words.get(key, 0)
         if LOST in token:
             w = self.lost.get(key)
             return (w, "lost bytes") if w else (token, "")
@@ -232,7 +237,7 @@ class Channel:
                 except UnicodeDecodeError:
                     continue
                 n = self.words.get(w.lower(), 0)
-                if w != token and one_script(w) and n >= LEAST_WORDS and n > WORD_RATIO * (seen + 0.2) and (best is None or n > best[1]):
+                if w != token and one_script(w) and self.likelier(w.lower(), key) and (best is None or n > best[1]):
                     best, how = (w, n), enc
         return (best[0], how) if best else (token, "")
 
@@ -268,30 +273,41 @@ PLAIN_RUNS = frozenset({"…”", "”…", "’”", "‘“", "“‘", "”
 
 
 def fit_channel(tables: list[tuple[DataFrame, str]]) -> Channel:
-    """Counts over all texts. The driver gets characters (an alphabet) and the words beyond ASCII that occur LEAST_WORDS
-    times or more."""
+    """Counts over all texts, by rows and by distinct texts. The driver gets characters (an alphabet) and the words beyond
+    ASCII that occur LEAST_WORDS times or more."""
 
     def counted(feed):
-        chars: Counter = Counter()
-        words: Counter = Counter()
+        chars, words = (Counter(), Counter()), (Counter(), Counter())  # by distinct texts, by rows beyond one a text
+
+        def rows(kind, counts):
+            return ((kind, x, n, n + counts[1][x]) for x, n in counts[0].items())
+
         for batch in feed:
-            texts = [t for t in next(iter(batch.values())) if t]
-            chars.update("\n".join(texts))
-            for t in texts:
-                if not t.isascii():
-                    words.update(w.lower() for w in odd_token().findall(t))
-            if len(words) > 200_000:
-                yield from (("w", w, n) for w, n in words.items())
-                words.clear()
-        yield from (("c", c, n) for c, n in chars.items())
-        yield from (("w", w, n) for w, n in words.items())
-
-    parts = None
+            for t, copies in zip(batch["text"], batch["copies"]):
+                own = Counter(t)
+                chars[0].update(own)
+                odd = Counter() if t.isascii() else Counter(w.lower() for w in odd_token().findall(t))
+                words[0].update(odd)
+                if copies > 1:
+                    for total, one in ((chars[1], own), (words[1], odd)):
+                        for x, n in one.items():
+                            total[x] += n * (copies - 1)
+            if len(words[0]) > 200_000:
+                yield from rows("w", words)
+                words[0].clear()
+                words[1].clear()
+        yield from rows("c", chars)
+        yield from rows("w", words)
+
+    texts = None
     for df, col in tables:
-        p = partition_stage(df.select(col), "kind string, item string, n long", counted)
-        parts = p if parts is None else parts.unionByName(p)
-    rows = parts.groupBy("kind", "item").agg(F.sum("n").alias("n")).where(f"kind = 'c' or n >= {LEAST_WORDS}").collect()
-    return Channel({r.item: r.n for r in rows if r.kind == "c"}, {r.item: r.n for r in rows if r.kind == "w"})
+        t = df.select(F.col(col).alias("text")).where("text <> ''")
+        texts = t if texts is None else texts.unionByName(t)
+    distinct = texts.groupBy("text").agg(F.count("*").alias("copies"))
+    parts = partition_stage(distinct, "kind string, item string, once long, n long", counted)
+    found = parts.groupBy("kind", "item").agg(F.sum("once").alias("once"), F.sum("n").alias("n")).where(f"kind = 'c' or n >= {LEAST_WORDS}").collect()
+    of = lambda kind, least, k: {r.item: r[k] for r in found if r.kind == kind and r[k] >= least}
+    return Channel(of("c", 0, "n"), of("w", LEAST_WORDS, "n"), of("c", 0, "once"), of("w", LEAST_WORDS, "once"))
 
 
 def repaired(df: DataFrame, id_col: str, text_col: str, channel: Channel) -> DataFrame:

@@ -249,5 +249,14 @@ def test_null_and_blank(spark, channel):
     assert [r.id for r in encodings.repaired(df, "id", "t", channel).collect()] == [3]
 
 
+def test_copies_of_a_damaged_text_are_found(spark):
+    """A word misread in a single-byte encoding, in one text under 100 ids: the right word is in 40 other texts."""
+    bad = "the cafй by the river"
+    rows = [(i, f"note {i}: the café is open") for i in range(40)] + [(100 + i, bad) for i in range(100)]
+    df = spark.createDataFrame(rows, "id long, t string")
+    got = {r.id: r.restored for r in encodings.repaired(df, "id", "t", encodings.fit_channel([(df, "t")])).collect()}
+    assert got == {100 + i: "the café by the river" for i in range(100)}
+
+
 def test_words():
     assert words("नमस्ते, दुनिया-1! a_b") == ["नमस्ते", "दुनिया", "1", "a", "b"]
