@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import spread
+from ..session import spread, written
 from ..arrow import arrow_stage, partition_stage
 
 # Abbreviations that stand before a name or a number, as written before their point.
@@ -208,7 +208,8 @@ def features(token: str, follow: str, never: frozenset[str]) -> list[tuple[int,
 
 def fit_boundaries(tables: list[tuple[DataFrame, str]]) -> BoundaryModel:
     """Fit the classifier. Counts of (token, what follows, at the stanza's end) cover all texts; the driver gets the
-    FIT_ROWS most frequent of them, and tokens that are common before points and never end a stanza."""
+    FIT_ROWS most frequent of them to fit on, and from all of them the tokens that are common before points and never end
+    a stanza."""
 
     def counted(feed):
         n: Counter = Counter()
@@ -233,18 +234,18 @@ def fit_boundaries(tables: list[tuple[DataFrame, str]]) -> BoundaryModel:
     for df, col in tables:
         p = partition_stage(df.select(col), "token string, follow string, final boolean, n long", counted)
         parts = p if parts is None else parts.unionByName(p)
-    rows = parts.groupBy("token", "follow", "final").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "token", "follow", "final").limit(FIT_ROWS).collect()
-    finals, inner = Counter(), Counter()
-    for r in rows:
-        (finals if r.final else inner)[r.token] += r.n
-    never = frozenset(t for t, n in inner.items() if n >= SEEN and not finals[t])
+    counts = written(parts.groupBy("token", "follow", "final").agg(F.sum("n").alias("n")), "points")
+    rows = counts.orderBy(F.desc("n"), "token", "follow", "final").limit(FIT_ROWS).collect()
+    common = counts.groupBy("token").agg(F.sum(F.when(~F.col("final"), F.col("n"))).alias("inner"), F.bool_or("final").alias("ends")).where(f"inner >= {SEEN} and not ends")
+    never = frozenset(r.token for r in common.select("token").collect())
+    finals = {r.token for r in rows if r.final}
     seen: Counter = Counter()
     for r in rows:
         if r.final:
             y = 1.0
         elif token_shape(r.token)[0] <= 1 or r.token in ABBREVIATION_SET or r.token in never:
             y = 0.0
-        elif finals[r.token]:
+        elif r.token in finals:
             y = 1.0
         else:
             continue

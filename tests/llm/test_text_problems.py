@@ -52,6 +52,14 @@ def test_boundaries_learn_unlisted_abbreviations(spark):
     assert cut("A ball. C doll.", empty) == ["A ball.", "C doll."]
 
 
+def test_words_that_end_rare_stanzas_are_no_abbreviations(spark, monkeypatch):
+    """'home' stands before many inner points and ends one stanza, in a row beyond the fitted sample."""
+    monkeypatch.setattr(sentences, "FIT_ROWS", 3)
+    rows = [("Xyq. Rao went home. They slept well.\n\nThey slept well.",)] * 30 + [("They came home.",)]
+    model = sentences.fit_boundaries([(spark.createDataFrame(rows, "t string"), "t")])
+    assert "home" not in model.never and "Xyq" in model.never
+
+
 def test_long_text(spark):
     text = "कथा कहो। " * 30_000
     assert len(cut(text)) == 30_000
