@@ -26,16 +26,25 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return languages.label_cases(p1_stretches(spark, d), "poem_id", "language_in", language_names(spark, d))
 
 
-def p2_token_budget(spark: SparkSession, d: str) -> DataFrame:
-    counters = {"n_tokens": tokens.BpeCounter(), "n_longest_match": tokens.TrieCounter()}
+COUNTERS = {"n_tokens": tokens.BpeCounter, "n_longest_match": tokens.TrieCounter}
+SLICE = ["source", "language", "text_domain"]
+
+
+def p2_token_counts(spark: SparkSession, d: str) -> DataFrame:
+    """(table_name, id, slice keys, both counts), one row per text that is not null."""
     docs = table(spark, d, "documents").select(
+        F.lit("documents").alias("table_name"), F.col("doc_id").cast("string").alias("id"),
         tokens.folded("source").alias("source"), tokens.folded("lang", region=True).alias("language"), tokens.folded("text_domain").alias("text_domain"), "text"
-    )
+    )
     poems = table(spark, d, "source_records").select(
+        F.lit("source_records").alias("table_name"), F.col("poem_id").alias("id"),
         F.lit("source_records").alias("source"), tokens.folded("language").alias("language"), F.lit("poem").alias("text_domain"), F.col("original_poem").alias("text")
-    )
-    counted = tokens.count_tokens(docs.unionByName(poems), "text", ["source", "language", "text_domain"], counters)
-    return tokens.token_budget(counted, ["source", "language", "text_domain"], list(counters))
+    )
+    return tokens.count_tokens(docs.unionByName(poems), "text", ["table_name", "id", *SLICE], {k: c() for k, c in COUNTERS.items()})
+
+
+def p2_token_budget(spark: SparkSession, d: str) -> DataFrame:
+    return tokens.token_budget(p2_token_counts(spark, d), SLICE, list(COUNTERS))
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
@@ -102,7 +111,7 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
-    "p1_found": p1_found, "p1_stretches": p1_stretches, "p2_token_budget": p2_token_budget, "p4_found": p4_found,
+    "p1_found": p1_found, "p1_stretches": p1_stretches, "p2_token_budget": p2_token_budget, "p2_token_counts": p2_token_counts, "p4_found": p4_found,
     "p5_found": p5_found, "p5_links": p5_links, "p6_found": p6_found, "p6_forms": p6_forms, "p7_found": p7_found,
     "p8_found": p8_found, "p8_leaks": p8_leaks, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found,
     "p10_repaired": p10_repaired,

@@ -119,6 +119,18 @@ def test_queries_run(spark, data, name):
     assert queries.QUERIES[name](spark, data).count() > 0
 
 
+def test_token_counts_of_each_text_add_up_to_the_budget(spark, data):
+    counts = queries.QUERIES["p2_token_counts"](spark, data).collect()
+    texts = [r.text for r in spark.read.parquet(f"{data}/documents.parquet").collect()] + [r.original_poem for r in spark.read.parquet(f"{data}/source_records.parquet").collect()]
+    assert len({(r.table_name, r.id) for r in counts}) == len(counts) == sum(t is not None for t in texts)
+    sums = {}
+    for r in counts:
+        n = sums.setdefault((r.source, r.language, r.text_domain), [0, 0, 0])
+        n[:] = n[0] + 1, n[1] + r.n_tokens, n[2] + r.n_longest_match
+    budget = queries.p2_token_budget(spark, data).collect()
+    assert {(r.source, r.language, r.text_domain): [r.n_texts, r.n_tokens, r.n_longest_match] for r in budget} == sums
+
+
 def test_normal_form_feeds_near_copies(spark):
     rows = [("a", "Тhe", "one two three four five six"), ("b", "The", "one two three four ﬁve​ six"), ("c", "The", "one two three four five six")]
     df = spark.createDataFrame(rows, "id string, t string, o string")
