@@ -7,7 +7,7 @@ themselves on the English side, the lexicon's translations on the source side, w
 of names on both. Each record then solves entropic optimal transport between its sentences: masses are content words,
 costs fall with the overlap of the vectors, and a null row and column take up omitted and added sentences at a fixed
 cost. Sinkhorn scaling gives the plan; a pair is linked when it carries a fair share of the lighter sentence's mass, so
-merges and splits come out as several links, omissions and additions as none.
+merges and splits come out as several links, omissions and additions as none or, where asked for, as rows with one side.
 
 Defined results: a null or blank side gives no link; sentences without any content word are linked to nothing; equal
 sentences share their mass and are all linked to the equal translations.
@@ -287,8 +287,9 @@ def sentence_tokens(text: str, spans: list[tuple[int, int]]) -> list[list[str]]:
     return [[w if w.isascii() or not w[0].isdigit() else digits(w) for w in words(p)] for p in parts]
 
 
-def align_all(pairs: list[tuple[str, str]], lex: Lexicon, bounds: BoundaryModel) -> list[list[tuple[int, int, int, int, float]]]:
-    """For each pair of texts, (src start, src end, tgt start, tgt end, share) of the linked sentences."""
+def align_all(pairs: list[tuple[str, str]], lex: Lexicon, bounds: BoundaryModel, unlinked: bool = False) -> list[list[tuple]]:
+    """For each pair of texts, (src start, src end, tgt start, tgt end, share) of the linked sentences. With unlinked, also
+    every sentence in no link, the other side None, with the share of its mass that goes to null."""
     out: list[list] = [[] for _ in pairs]
     at, spans, likes, masses = [], [], [], []
     for i, (s_text, t_text) in enumerate(pairs):
@@ -303,19 +304,29 @@ def align_all(pairs: list[tuple[str, str]], lex: Lexicon, bounds: BoundaryModel)
         masses.append((np.maximum([len(x) for x in sv], 0.5), np.maximum([sum(x.values()) for x in tv], 0.5)))
     for i, (ss, ts), like, (a, b), plan in zip(at, spans, likes, masses, transports(likes, masses)):
         share = plan / np.minimum(a[:, None], b)
-        out[i] = [(*ss[x], *ts[y], float(min(share[x, y], 1))) for x, y in zip(*np.nonzero((share >= SHARE) & (like >= LIKE)))]
+        linked = (share >= SHARE) & (like >= LIKE)
+        out[i] = [(*ss[x], *ts[y], float(min(share[x, y], 1))) for x, y in zip(*np.nonzero(linked))]
+        if unlinked:
+            gone, new = 1 - plan.sum(axis=1) / a, 1 - plan.sum(axis=0) / b
+            out[i] += [(*ss[x], None, None, float(min(max(gone[x], 0), 1))) for x in np.flatnonzero(~linked.any(axis=1))]
+            out[i] += [(None, None, *ts[y], float(min(max(new[y], 0), 1))) for y in np.flatnonzero(~linked.any(axis=0))]
     return out
 
 
-def aligned_sentences(df: DataFrame, id_col: str, src: str, tgt: str, lex: Lexicon, bounds: BoundaryModel) -> DataFrame:
+def aligned_sentences(df: DataFrame, id_col: str, src: str, tgt: str, lex: Lexicon, bounds: BoundaryModel, unlinked: bool = False) -> DataFrame:
     """(<id>, src_start, src_end, tgt_start, tgt_end, share, kind), one row per link; kind is one, merge (several source
-    sentences in one), split (one source sentence in several) or mixed."""
+    sentences in one), split (one source sentence in several) or mixed. With unlinked, also a row per sentence left out
+    (omission) or added (addition), the other side null."""
 
     def link(batch):
         rows = [(rid, s, t) for rid, s, t in zip(batch["_id"], batch["_s"], batch["_t"]) if s and t]
         for at in range(0, len(rows), 2000):
             part = rows[at : at + 2000]
-            for (rid, _, _), links in zip(part, align_all([(s, t) for _, s, t in part], lex, bounds)):
+            for (rid, _, _), links in zip(part, align_all([(s, t) for _, s, t in part], lex, bounds, unlinked)):
+                for x in links:
+                    if x[0] is None or x[2] is None:
+                        yield rid, *x, "addition" if x[0] is None else "omission"
+                links = [x for x in links if x[0] is not None and x[2] is not None]
                 up, down = Counter(x[0] for x in links), Counter(x[2] for x in links)
                 for x in links:
                     many_t, many_s = up[x[0]] > 1, down[x[2]] > 1

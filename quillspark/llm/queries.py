@@ -53,15 +53,19 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return sentences.sentences(poems, "poem_id", "original_poem", bounds)
 
 
-def p5_links(spark: SparkSession, d: str) -> DataFrame:
+def p5_aligned(spark: SparkSession, d: str, unlinked: bool) -> DataFrame:
     poems = table(spark, d, "source_records")
     bounds = sentences.fit_boundaries([(poems, "original_poem"), (poems, "translated_poem")])
     lexicon = bitext.fit_lexicon(poems, "original_poem", "translated_poem", table(spark, d, "glossary"))
-    return bitext.aligned_sentences(poems, "poem_id", "original_poem", "translated_poem", lexicon, bounds)
+    return bitext.aligned_sentences(poems, "poem_id", "original_poem", "translated_poem", lexicon, bounds, unlinked)
+
+
+def p5_links(spark: SparkSession, d: str) -> DataFrame:
+    return p5_aligned(spark, d, True)
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    return p5_links(spark, d).select("poem_id", "src_start", "tgt_start")
+    return p5_aligned(spark, d, False).select("poem_id", "src_start", "tgt_start")
 
 
 def p6_forms(spark: SparkSession, d: str) -> DataFrame:

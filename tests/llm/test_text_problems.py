@@ -195,6 +195,20 @@ def test_alignment_of_shuffled_merged_split_and_dropped(spark):
     assert straight > 0.97 * 1500 and not [r for r in links if r.id in ("null", "blank")]
 
 
+def test_sentences_left_out_and_added_have_rows(spark):
+    words = {f"शब्द{chr(0x915 + i)}": {"word" + chr(97 + i): 1.0} for i in range(12)}
+    lex = bitext.Lexicon(words, frozenset(words), frozenset(e for es in words.values() for e in es))
+    say = lambda ws: " ".join(ws) + "."
+    src, tgt = list(words), [next(iter(e)) for e in words.values()]
+    s, t = f"{say(src[:4])} {say(src[4:8])}", f"{say(tgt[8:])} {say(tgt[:4])}"
+    df = spark.createDataFrame([("a", s, t), ("b", s, None)], "id string, s string, t string")
+    part = lambda x, a, b: None if a is None else x[a:b]
+    rows = {(r.id, part(s, r.src_start, r.src_end), part(t, r.tgt_start, r.tgt_end), r.kind) for r in bitext.aligned_sentences(df, "id", "s", "t", lex, PRIOR, unlinked=True).collect()}
+    link = ("a", say(src[:4]), say(tgt[:4]), "one")
+    assert rows == {link, ("a", say(src[4:8]), None, "omission"), ("a", None, say(tgt[8:]), "addition")}
+    assert bitext.aligned_sentences(df, "id", "s", "t", lex, PRIOR).count() == 1
+
+
 def test_copies_and_ties_teach_no_words(spark):
     rnd = random.Random(8)
     rows = []
