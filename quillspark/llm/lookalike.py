@@ -2,19 +2,23 @@
 
 Look-alike classes are the components of a union-find over strings and code points. Its edges are
 
-* a code point and its canonical decomposition,
+* a code point and its canonical decomposition, marks in canonical order; for Hangul both follow from a formula,
 * a full-width, half-width, no-break or presentation form and its plain form, a space of another width and the space,
 * an invisible code point and the empty string,
-* the cross-script look-alikes listed below, also under every combining mark that a composed letter carries.
+* the cross-script look-alikes listed below, also under every combining mark.
 
-The representative of a class is its most frequent member in the corpus (ties: the smaller string, the empty string
-first); texts are rewritten greedily, left to right and longest first, by an Aho-Corasick automaton over the other members.
+Every class has one plain member, which all its members reach by decomposing them and replacing each code point by its
+class's plain one. The representative of a class is its most frequent member in the corpus (ties: the shorter, then the
+smaller string, the empty string first). A text is brought to plain members first; an Aho-Corasick automaton then
+rewrites these, left to right and longest first, to the representatives. The plain form of a representative is the
+member it stands for, so rewriting is idempotent by construction and needs no second pass.
 
 Defined results: a null stays null, an empty text stays empty, rewriting is idempotent, and ties never depend on row order.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 import unicodedata
 from collections import Counter
@@ -38,9 +42,14 @@ GREEK_AS_LATIN = {
     "Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P",
     "Τ": "T", "Υ": "Y", "Χ": "X", "Ϲ": "C", "Ϳ": "J", "ο": "o", "ν": "v", "ρ": "p", "ϲ": "c", "ϳ": "j", "ι": "ı",
 }
+ARMENIAN_AS_LATIN = {"Տ": "S", "Լ": "L", "Օ": "O", "Ս": "U", "օ": "o", "ս": "u", "հ": "h", "ո": "n", "ց": "g", "զ": "q", "յ": "j"}
+CHEROKEE_AS_LATIN = {
+    "Ꭺ": "A", "Ᏼ": "B", "Ꮯ": "C", "Ꭰ": "D", "Ꭼ": "E", "Ꮐ": "G", "Ꮋ": "H", "Ꭻ": "J", "Ꮶ": "K", "Ꮮ": "L", "Ꮇ": "M",
+    "Ꮲ": "P", "Ꭱ": "R", "Ꮪ": "S", "Ꭲ": "T", "Ꮩ": "V", "Ꮃ": "W", "Ꮓ": "Z",
+}
 LATIN_ALIKE = {"ɑ": "a", "ɡ": "g", "ı": "i"}
 ARABIC_ALIKE = {"ي": "ی", "ى": "ی", "ك": "ک"}
-LOOK_ALIKE = CYRILLIC_AS_LATIN | GREEK_AS_LATIN | LATIN_ALIKE | ARABIC_ALIKE
+LOOK_ALIKE = CYRILLIC_AS_LATIN | GREEK_AS_LATIN | ARMENIAN_AS_LATIN | CHEROKEE_AS_LATIN | LATIN_ALIKE | ARABIC_ALIKE
 INVISIBLE = (
     "­", "͏", "؜", "᠎", "​", "‎", "‏", "‪", "‫", "‬", "‭",
     "‮", "⁠", "⁡", "⁢", "⁣", "⁤", "⁦", "⁧", "⁨", "⁩", "﻿",
@@ -54,7 +63,8 @@ def _points(hexes: str) -> str:
 
 @lru_cache(maxsize=1)
 def unicode_edges() -> tuple[dict[str, str], dict[str, str]]:
-    """(code point -> canonical decomposition, code point -> plain form), from the Unicode database."""
+    """(code point -> canonical decomposition, code point -> plain form), from the Unicode database. Hangul is left to
+    the formula of canonical decomposition."""
     canon, plain = {}, {}
     for o in range(0x80, 0x30000):
         if 0xAC00 <= o <= 0xD7A3:
@@ -72,6 +82,26 @@ def unicode_edges() -> tuple[dict[str, str], dict[str, str]]:
     return canon, plain
 
 
+@lru_cache(maxsize=1)
+def steps() -> dict[str, str]:
+    """Code point -> the string one edge nearer to the plain member of its class. No chain of steps comes back."""
+    return {ch: p for ch, p in unicode_edges()[1].items() if p != ch} | LOOK_ALIKE | {c: "" for c in INVISIBLE}
+
+
+@lru_cache(maxsize=1 << 16)
+def plain_char(ch: str) -> str:
+    d = unicodedata.normalize("NFD", ch)
+    if d != ch:
+        return "".join(map(plain_char, d))
+    near = steps().get(ch)
+    return ch if near is None else "".join(map(plain_char, near))
+
+
+def plain_member(text: str) -> str:
+    """The plain member of a string's class, marks in canonical order."""
+    return unicodedata.normalize("NFD", "".join(map(plain_char, text)))
+
+
 class UnionFind:
     """Disjoint sets of strings; the root of a set is arbitrary, classes() gives the sets themselves."""
 
@@ -98,99 +128,113 @@ class UnionFind:
         return [c for c in out.values() if len(c) > 1]
 
 
-def look_alike_classes(charset: set[str]) -> list[set[str]]:
-    """Classes of strings that look the same, for texts made of charset."""
-    canon, plain = unicode_edges()
+def look_alike_classes(members: set[str]) -> list[set[str]]:
+    """Classes of the strings and code points that look the same, each with its plain member."""
     sets = UnionFind()
-    near = charset | {c for x in charset for c in unicodedata.normalize("NFD", x)}
-    for a, b in LOOK_ALIKE.items():
-        if a in near:
-            sets.union(a, b)
-    for ch in INVISIBLE:
-        if ch in near:
-            sets.union(ch, "")
-    for ch, p in plain.items():
-        if ch in near:
-            sets.union(ch, p)
-            near |= set(p)
-    alike: dict[str, set[str]] = {}
-    for c in sets.classes():
-        for x in c:
-            alike[x] = c
-    for ch, d in canon.items():
-        bases = [b for b in alike.get(d[0], {d[0]}) if len(b) == 1]
-        if (ch in near or all(x in near for x in d)) or any(b in near for b in bases) and all(x in near for x in d[1:]):
-            sets.union(ch, d)
-            for b in bases:
-                sets.union(b + d[1:], d)
+    for m in members:
+        sets.union(m, plain_member(m))
     return sets.classes()
 
 
 def representatives(counts: dict[str, int]) -> dict[str, str]:
-    """Member -> representative for every class member that is not its own. counts: of code points and of strings."""
+    """Member -> representative for every class member that is not its own. counts: of code points and of strings; the
+    counts of Hangul syllables and of their decompositions are one pair for the whole block, under HANGUL."""
+    members = set(counts) - set(HANGUL)
+    canon = unicode_edges()[0]
+    members |= {ch for ch in canon if plain_member(ch) in members}
     out = {}
-    for members in look_alike_classes({x for x in counts if len(x) == 1}):
-        if "" in members:
-            best = ""
-        else:
-            best = min(members, key=lambda x: (-counts.get(x, 0), len(x), x))
-        out |= {m: best for m in members if m != best and m}
-    # A representative may itself hold members of other classes (a composed letter of a swapped base): settle them.
-    for _ in range(3):
-        out = {m: "".join(out.get(c, c) for c in r) if r not in out else out[r] for m, r in out.items()}
-    return {m: r for m, r in out.items() if m != r}
+    for cls in look_alike_classes(members):
+        best = "" if "" in cls else min(cls, key=lambda x: (-counts.get(x, 0), len(x), x))
+        out |= {m: best for m in cls if m != best and m}
+    if counts.get(HANGUL[1], 0) > counts.get(HANGUL[0], 0):
+        out[HANGUL[0]] = HANGUL[1]
+    return out
+
+
+HANGUL = ("hangul:syllable", "hangul:jamo")
+JAMO = re.compile("[\u1100-\u11ff]+")
+SYLLABLE = re.compile("[\uac00-\ud7a3]")
 
 
 class Rewriter:
-    """Greedy, leftmost-longest rewriting of members to representatives."""
+    """Texts by plain members, then greedy, leftmost-longest rewriting of these to representatives."""
 
     def __init__(self, mapping: dict[str, str]) -> None:
         self.mapping = mapping
-        self.auto = ahocorasick.Automaton()
-        for m in mapping:
-            self.auto.add_word(m, m)
-        if mapping:
+        self.pairs = {m: r for m, r in mapping.items() if m == plain_member(m) and m not in HANGUL}
+        self.single = {m: r for m, r in self.pairs.items() if len(m) == 1}
+        self.strings = {m: r for m, r in self.pairs.items() if len(m) > 1}
+        self.composed = HANGUL[0] not in mapping
+        first = {m[0] for m in self.strings}
+        self.ascii_stays = not any(m.isascii() for m in self.single)
+        self.table = _PlainTable()
+        self.last = str.maketrans(self.single) if self.single else None
+        self.auto = None
+        if self.strings:
+            self.auto = ahocorasick.Automaton()
+            for m, r in self.pairs.items():
+                self.auto.add_word(m, (len(m), r))
             self.auto.make_automaton()
-            self.any = re.compile("[" + "".join(sorted({re.escape(m[0]) for m in mapping})) + "]")
+            second = {m[1] for m in self.strings}
+            self.near = re.compile("[" + "".join(map(re.escape, sorted(first))) + "][" + "".join(map(re.escape, sorted(second))) + "]")
 
     def __reduce__(self):
         return Rewriter, (self.mapping,)
 
     def __call__(self, text: str | None) -> str | None:
-        if not text or not self.mapping:
+        if not text or text.isascii() and self.ascii_stays:
             return text
-        for _ in range(4):  # rewriting one string can complete another; one more pass settles it
-            if text.isascii() or not self.any.search(text):
-                return text
+        text = unicodedata.normalize("NFD", text).translate(self.table)
+        if not unicodedata.is_normalized("NFD", text):  # what was between two marks is gone
+            text = unicodedata.normalize("NFD", text)
+        if self.auto is not None and self.near.search(text):
             out, at = [], 0
-            for end, m in self.auto.iter_long(text):
-                start = end - len(m) + 1
-                out.append(text[at:start])
-                out.append(self.mapping[m])
+            for end, (n, r) in self.auto.iter_long(text):
+                out.append(text[at : end - n + 1])
+                out.append(r)
                 at = end + 1
-            if not out:
-                return text
             out.append(text[at:])
             text = "".join(out)
-        return text
+        elif self.last:
+            text = text.translate(self.last)
+        return JAMO.sub(lambda m: unicodedata.normalize("NFC", m.group()), text) if self.composed and JAMO.search(text) else text
+
+
+class _PlainTable(dict):
+    """Plain members by code point, filled as code points are met."""
+
+    def __missing__(self, o: int):
+        p = plain_char(chr(o))
+        self[o] = o if p == chr(o) else p
+        return self[o]
 
 
 @lru_cache(maxsize=1)
-def _composites() -> list[tuple[str, str]]:
-    return sorted(unicode_edges()[0].items())
+def _composites() -> dict[str, list[str]]:
+    """Mark -> the canonical decompositions with it behind their first letter."""
+    out: dict[str, set[str]] = {}
+    for d in unicode_edges()[0].values():
+        if len(d) > 1:
+            out.setdefault(d[1], set()).add(d)
+    return {m: sorted(ds) for m, ds in out.items()}
 
 
 def count_members(texts: list[str]) -> Counter:
-    """Code points, and canonical decompositions as strings, in texts."""
+    """Code points, and canonical decompositions as strings, in texts; Hangul by the block."""
     joined = "\n".join(t for t in texts if t)
     n = Counter(joined)
     if joined.isascii():
         return n
     present = set(n)
-    for _, d in _composites():
-        if len(d) > 1 and d[1] in present and d[0] in present and d not in n:
-            if hits := joined.count(d):
+    for mark in present & _composites().keys():
+        for d in _composites()[mark]:
+            if d[0] in present and (hits := joined.count(d)):
                 n[d] = hits
+    for name, pattern, inside in ((HANGUL[0], SYLLABLE, "\uac00\ud7a3"), (HANGUL[1], JAMO, "\u1100\u11ff")):
+        if any(inside[0] <= c <= inside[1] for c in present):
+            n[name] = len(pattern.findall(joined))
+            for c in [c for c in n if len(c) == 1 and inside[0] <= c <= inside[1]]:
+                del n[c]
     return n
 
 
@@ -203,7 +247,7 @@ def fit_representatives(tables: list[tuple[DataFrame, list[str]]]) -> dict[str,
             n: Counter = Counter()
             for batch in feed:
                 for texts in batch.values():
-                    n += count_members(texts)
+                    n.update(count_members(texts))
             return n.items()
 
         part = partition_stage(df.select(*cols), "member string, n long", counted)
@@ -231,8 +275,8 @@ def normal_form(df: DataFrame, cols: list[str], mapping: dict[str, str], suffix:
 def look_alike_pairs(df: DataFrame, id_col: str, cols: list[str], mapping: dict[str, str]) -> DataFrame:
     """Pairs (field_name, <id>_a, <id>_b), the smaller id first, whose values share a form but not their characters.
 
-    Only forms with two or more different raw values are joined, and each form is joined on the hash of the form plus
-    the raw value, so rows that are merely equal never meet; a hot form is split by AQE's skew join."""
+    The values of a form that has several are paired as values, each once, and only then are the records of each value
+    put beside them: records that are merely equal never meet, and every joined row is a row of the result or its mirror."""
     rw = Rewriter(mapping)
 
     def keyed(batch):
@@ -242,23 +286,16 @@ def look_alike_pairs(df: DataFrame, id_col: str, cols: list[str], mapping: dict[
                 if t and rid is not None and t.strip():
                     form = rw(t).replace("\r\n", "\n")
                     if form.strip():
-                        yield c, rid, form, t
+                        yield c, rid, *(hashlib.md5(x.encode("utf-8", "surrogatepass")).digest() for x in (form, t))
 
     id_type = df.schema[id_col].dataType.simpleString()
-    long = arrow_stage(spread(df.select(id_col, *cols)), f"field_name string, id {id_type}, form string, raw string", keyed)
-    long = long.select("field_name", "id", F.md5("form").alias("form"), F.md5("raw").alias("raw"))
-    mixed = (
-        long.groupBy("field_name", "form")
-        .agg(F.min("raw").alias("lo"), F.max("raw").alias("hi"))
-        .where("lo <> hi")
-        .select("field_name", "form")
-    )
-    few = long.join(mixed, ["field_name", "form"], "left_semi")
-    a = few.select("field_name", "form", F.col("id").alias("a"), F.col("raw").alias("raw_a"))
-    b = few.select("field_name", "form", F.col("id").alias("b"), F.col("raw").alias("raw_b"))
+    long = arrow_stage(spread(df.select(id_col, *cols)), f"field_name string, id {id_type}, form binary, raw binary", keyed)
+    values = long.groupBy("field_name", "form", "raw").agg(F.lit(1).alias("one")).drop("one")
+    mixed = values.groupBy("field_name", "form").agg(F.min("raw").alias("lo"), F.max("raw").alias("hi")).where("lo <> hi").select("field_name", "form")
+    few = values.join(mixed, ["field_name", "form"], "left_semi")
+    pairs = few.withColumnRenamed("raw", "raw_a").join(few.withColumnRenamed("raw", "raw_b"), ["field_name", "form"]).where("raw_a <> raw_b").drop("form")
+    side = lambda k: long.select("field_name", F.col("raw").alias(f"raw_{k}"), F.col("id").alias(k))
     return (
-        a.join(b, ["field_name", "form"])
-        .where("raw_a <> raw_b and a < b")
-        .select("field_name", F.col("a").alias(f"{id_col}_a"), F.col("b").alias(f"{id_col}_b"))
-        .distinct()
-    )
+        pairs.join(side("a"), ["field_name", "raw_a"]).join(side("b"), ["field_name", "raw_b"]).where("a < b")
+        .select("field_name", F.col("a").alias(f"{id_col}_a"), F.col("b").alias(f"{id_col}_b")).distinct()
+    )
