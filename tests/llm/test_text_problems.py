@@ -46,7 +46,7 @@ def test_sentences_cover_all_visible_text(text):
 def test_boundaries_learn_unlisted_abbreviations(spark):
     rows = [(f"Xyq. Name{i} came home.\n\nThey slept well.\n\nall went home. They slept well.",) for i in range(60)]
     model = sentences.fit_boundaries([(spark.createDataFrame(rows, "t string"), "t")])
-    assert not model.ends("Xyq", "u ") and model.ends("home", "u ")
+    assert not model.ends(".", "Xyq", "u0 ") and model.ends(".", "home", "u0 ") and model.ends("!", "", "u0 ")
     assert cut("Xyq. Rao came home. He slept.", model) == ["Xyq. Rao came home.", "He slept."]
     empty = sentences.fit_boundaries([(spark.createDataFrame([], "t string"), "t")])
     assert cut("A ball. C doll.", empty) == ["A ball.", "C doll."]
@@ -60,6 +60,16 @@ def test_words_that_end_rare_stanzas_are_no_abbreviations(spark, monkeypatch):
     assert "home" not in model.never and "Xyq" in model.never
 
 
+def test_every_mark_is_classified_and_tokens_are_whole(spark):
+    """One-letter words that end stanzas are words, bare initials are not; a long token is read whole."""
+    name = "x" * 60
+    rows = [(f"મારો જકુ છે. બ. ક. ચુસો{i} માં હતો. {name}. Rao{i} છે.\n\nઆ જકુ છે.\n\nરેતિ હતો! તે છે… માં ... હતો.",) for i in range(80)]
+    model = sentences.fit_boundaries([(spark.createDataFrame(rows, "t string"), "t")])
+    assert model.ends(".", "છે", "n0 ") and not model.ends(".", "બ", "n1 ") and not model.ends("..", "", "n0 ")
+    assert name in model.never and "x" * 40 not in model.never
+    assert cut(f"આ છે. બ. ક. ચુસો છે! {name}. Rao છે॥ 12345 ॥ તે છે.", model) == ["આ છે.", "બ. ક. ચુસો છે!", f"{name}. Rao છે॥ 12345 ॥", "તે છે."]
+
+
 def test_long_text(spark):
     text = "कथा कहो। " * 30_000
     assert len(cut(text)) == 30_000
