@@ -19,6 +19,7 @@ def p1_stretches(spark: SparkSession, d: str) -> DataFrame:
     names = language_names(spark, d)
     models = languages.fit_languages([(poems, "original_poem", "language"), (poems, "translated_poem", "'English'")], names)
     bounds = sentences.fit_boundaries([(poems, "original_poem")])
+    models = languages.calibrated(models, languages.labelled_sample(poems, "original_poem", "language", names, bounds))
     return languages.language_stretches(poems.where("trim(original_poem) <> ''"), "poem_id", "original_poem", models, bounds, ["language"])
 
 

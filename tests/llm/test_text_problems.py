@@ -96,7 +96,30 @@ def test_languages_and_mixtures(spark):
     want = {f"{n}{i}": {n} for n in make for i in range(0, 60, 10)} | {"wrong": {"Bb"}, "mixed": {"Aa", "Bb"}}
     assert {k: v for k, v in got.items() if k != "digits"} == want
     mixed = [r for r in s.collect() if r.id == "mixed"]
-    assert [r.language for r in sorted(mixed, key=lambda r: r.char_start)] == ["Aa", "Bb", "Aa"] and all(0.9 < r.confidence <= 1 for r in mixed)
+    assert [r.language for r in sorted(mixed, key=lambda r: r.char_start)] == ["Aa", "Bb", "Aa"] and all(0.8 < r.confidence <= 1 for r in mixed)
+
+
+def test_confidence(spark):
+    """Long texts of a language are surer than words half unknown, unknown words are low, no value is a constant."""
+    make = corpus() | {"Cc": [[" ".join(ws) + "."] for ws in zip(*[iter("kimata zorveg kamitu grozev timaku vozerg".split() * 40)] * 6)]}
+    rows = [(n, " ".join(t)) for n, ts in make.items() for t in ts]
+    df = spark.createDataFrame(rows, "label string, text string")
+    models = languages.fit_languages([(df, "text", "label")], list(make))
+    models = languages.calibrated(models, languages.labelled_sample(df, "text", "label", list(make), PRIOR))
+    conf = lambda t: languages.stretches_of(t, models, PRIOR)[0][3]
+    known = " ".join(make["Aa"][7])
+    assert conf(known) > 0.85 > conf("qqq www.") and conf("qqq www.") < 0.5 and conf("12 34.") < 0.5
+    assert conf(known) > conf("kami qqq www xxx kamt yyy.") > 1 / 3 - 1e-9
+    assert conf("... !") == 1 / 3
+
+
+def test_few_n_grams_reach_the_driver(spark, monkeypatch):
+    """The share bounds the n-grams of a language, whatever their counts."""
+    monkeypatch.setattr(languages, "SHARE", 1 / 200)
+    rnd = random.Random(2)
+    df = spark.createDataFrame([("Aa", " ".join("".join(rnd.choice("abcdefghij") for _ in range(5)) for _ in range(4000)))], "label string, text string")
+    models = languages.fit_languages([(df, "text", "label")], ["Aa", "Bb"])
+    assert 0 < len(models.index) <= 200
 
 
 def test_mixture_proportions():
