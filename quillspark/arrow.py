@@ -54,3 +54,15 @@ def partition_stage(df: DataFrame, schema: str | StructType, fn: Callable[[Itera
 
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
+
+def column_stage(df: DataFrame, schema: str | StructType, fn: Callable[[Iterator[pa.RecordBatch]], Iterable[tuple]]) -> DataFrame:
+    """As partition_stage, but fn reads Arrow batches and gives tuples of columns (arrays or lists) in place of rows."""
+    st = _parse_datatype_string(schema) if isinstance(schema, str) else schema
+    arrow = to_arrow_schema(st)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cols in fn(b for b in batches if b.num_rows):
+            yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(cols, arrow)], schema=arrow)
+
+    return df.mapInArrow(run, st)
