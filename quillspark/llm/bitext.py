@@ -1,13 +1,16 @@
 """Problem 5: sentence alignment of rough translations.
 
 A translation lexicon is learned from all records, equal pairs of texts counting once: for every source word, the share
-of its pairs whose translation holds an English word, in excess of that word's share overall. Candidates that tie are
-kept together; a word with more than BEST best ones is left to the glossary. Sentence vectors are bags of English words: the words
-themselves on the English side, the lexicon's translations on the source side, with numbers and the consonant skeletons
-of names on both. Each record then solves entropic optimal transport between its sentences: masses are content words,
-costs fall with the overlap of the vectors, and a null row and column take up omitted and added sentences at a fixed
-cost. Sinkhorn scaling gives the plan; a pair is linked when it carries a fair share of the lighter sentence's mass, so
-merges and splits come out as several links, omissions and additions as none or, where asked for, as rows with one side.
+of its pairs whose translation holds an English word, in excess of that word's share overall. Co-occurrences are counted
+sparsely, as sums by (source word, English word). Candidates that tie are kept together; a word with more than BEST best
+ones is left to the glossary. Sentence vectors are bags of English words: the words themselves on the English side, the
+lexicon's translations on the source side, with numbers and the consonant skeletons of names on both.
+
+Each record then solves entropic optimal transport between its sentences: masses are content words, costs fall with the
+overlap of the vectors, and a null row and column take up omitted and added sentences at a fixed cost, so mass goes from
+sentence to sentence only where that is cheaper than leaving out the one and adding the other. Sinkhorn scaling gives
+the plan. A pair is linked when the plan carries SHARE of the lighter sentence's mass from one to the other, so merges
+and splits come out as several links, omissions and additions as none or, where asked for, as rows with one side.
 
 Defined results: a null or blank side gives no link; sentences without any content word are linked to nothing; equal
 sentences share their mass and are all linked to the equal translations.
@@ -25,17 +28,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import spread, written
-from ..arrow import arrow_stage, partition_stage
+from ..arrow import arrow_stage, column_stage, partition_stage
 from .lookalike import INVISIBLE, LOOK_ALIKE
+from .neardup import Hasher
 from .sentences import BoundaryModel, sentence_spans
 from .words import words
 
 EXCESS = 0.3  # least excess share of a translation
-RARE = 2e-5  # words in fewer than this share of the records (and under LEAST of them) are names, not vocabulary
-LEAST = 4
-BEST = 4  # translations kept of a source word, and those that tie with the last
-EPSILON, NULL_COST, ROUNDS = 0.08, 0.75, 60
-SHARE, LIKE = 0.3, 0.58  # least share of the lighter mass, least overlap, of a link
+LEAST = 4  # words in fewer pairs of texts are names, not vocabulary
+BEST = 4  # a word with more candidates than this that cannot be told apart has no translation
+NEAR = 0.8  # translations kept beside the best one: those with this share of its excess
+EPSILON, NULL_COST, ROUNDS = 0.02, 0.24, 60  # two null costs are the price of the least overlap that is a rendering
+SHARE = 0.4  # least share of the lighter sentence's mass of a link
 
 _PLAIN = {ord(a): b for a, b in LOOK_ALIKE.items()} | {ord(c): None for c in INVISIBLE}
 CLUSTERS = (("ch", "c"), ("sh", "s"), ("kh", "k"), ("gh", "g"), ("th", "t"), ("dh", "d"), ("ph", "p"), ("bh", "b"), ("w", "v"), ("q", "k"))
@@ -102,115 +106,157 @@ def skeleton(word: str) -> str:
 
 
 class Lexicon:
-    def __init__(self, entries: dict[str, dict[str, float]], known: frozenset[str], english: frozenset[str]) -> None:
-        self.entries, self.known, self.english = entries, known, english
+    """entries: source word -> its translations. known: sorted hashes of all words of the vocabulary, 8 bytes a word."""
+
+    def __init__(self, entries: dict[str, dict[str, float]], known: np.ndarray, english: frozenset[str]) -> None:
+        self.entries, self.known, self.english, self.hasher = entries, known, english, Hasher(1)
+        self.sources: dict[str, dict[str, float] | None] = {}
+        self.targets: dict[str, str | None] = {}
 
     def __reduce__(self):
         return Lexicon, (self.entries, self.known, self.english)
 
+    def holds(self, w: str) -> bool:
+        h = np.uint64(self.hasher.word(w))
+        i = np.searchsorted(self.known, h)
+        return bool(i < len(self.known) and self.known[i] == h)
+
+    def _source(self, w: str) -> dict[str, float] | None:
+        if w in FUNCTION_WORDS:
+            return None
+        if e := self.entries.get(w):
+            return e
+        if w.isdigit() or w in self.english:
+            return {w: 1.0}
+        return {"~" + s: 0.9} if not self.holds(w) and len(s := skeleton(w)) >= 2 else None
+
+    def _target(self, w: str) -> str | None:
+        if w in self.english or w.isdigit():
+            return w
+        return "~" + s if w not in FUNCTION_WORDS and not self.holds(w) and len(s := skeleton(w)) >= 2 else None
+
     def source(self, toks: list[str]) -> list[dict[str, float]]:
-        out = []
-        for w in toks:
-            if w in FUNCTION_WORDS:
-                continue
-            if e := self.entries.get(w):
-                out.append(e)
-            elif w.isdigit():
-                out.append({w: 1.0})
-            elif w in self.english:
-                out.append({w: 1.0})
-            elif w not in self.known and len(s := skeleton(w)) >= 2:
-                out.append({"~" + s: 0.9})
-        return out
+        return [e for w in toks if (e := memo(self.sources, w, self._source)) is not None]
 
     def target(self, toks: list[str]) -> Counter:
-        out: Counter = Counter()
-        for w in toks:
-            if w in self.english or w.isdigit():
-                out[w] += 1
-            elif w not in self.known and w not in FUNCTION_WORDS and len(s := skeleton(w)) >= 2:
-                out["~" + s] += 1
-        return out
+        return Counter(e for w in toks if (e := memo(self.targets, w, self._target)) is not None)
+
+
+def memo(kept: dict, key: str, fn):
+    """fn(key), remembered; forgets all when there are very many."""
+    try:
+        return kept[key]
+    except KeyError:
+        if len(kept) > 300_000:
+            kept.clear()
+        v = kept[key] = fn(key)
+        return v
+
 
+def word_hashes(ws) -> np.ndarray:
+    return np.array([HASHER.word(w) for w in ws], dtype=np.uint64)
 
-def candidates(excess: np.ndarray) -> np.ndarray:
-    """Places of the BEST greatest values and of all that tie with the last of them; none where more than BEST are greatest."""
-    if len(excess) <= BEST:
-        return np.argsort(-excess, kind="stable")
-    if (excess >= excess.max() - 1e-9).sum() > BEST:
-        return np.empty(0, dtype=np.int64)
-    return np.flatnonzero(excess >= np.partition(excess, -BEST)[-BEST] - 1e-9)
+
+HASHER = Hasher(1)
+PAIRS_KEPT = 3_000_000  # codes of co-occurrences summed at once
 
 
 def fit_lexicon(df: DataFrame, src: str, tgt: str, glossary: DataFrame | None = None) -> Lexicon:
-    """Counts cover the distinct pairs of texts of all records. Vocabulary and lexicon, bounded by the languages, reach the driver; the co-occurrence
-    counts are summed per partition as matrices and, for each source word, in one task each."""
-    pairs = spread(written(df.where(f"trim({src}) <> '' and trim({tgt}) <> ''").select(F.col(src).alias("s"), F.col(tgt).alias("t")).distinct(), "pairs"))
+    """Counts cover the distinct pairs of texts of all records. Each text is read once, into the hashes of its words.
+    The vocabulary, words in LEAST pairs or more, reaches the driver and the workers as sorted hashes and counts, and the
+    lexicon as words; the co-occurrence counts stay rows, summed before and after the shuffle."""
+    pairs = spread(df.where(f"trim({src}) <> '' and trim({tgt}) <> ''").select(F.col(src).alias("s"), F.col(tgt).alias("t")).distinct())
 
-    def frequencies(feed):
+    def read(feed):
         n: Counter = Counter()
         for batch in feed:
             for s, t in zip(batch["s"], batch["t"]):
-                n.update(("s", w) for w in set(tokens(s)))
-                n.update(("t", w) for w in set(tokens(t)))
-                n[("n", "")] += 1
+                a, b = set(tokens(s)), set(tokens(t))
+                n.update(("s", w) for w in a)
+                n.update(("t", w) for w in b)
+                yield "p", None, None, 1, word_hashes(a).tobytes(), word_hashes(b).tobytes()
             if len(n) > 500_000:
-                yield from ((*k, v) for k, v in n.items())
+                yield from ((side, w, HASHER.word(w) - (1 << 63), v, None, None) for (side, w), v in n.items())
                 n.clear()
-        yield from ((*k, v) for k, v in n.items())
-
-    counts = partition_stage(pairs, "side string, word string, n long", frequencies).groupBy("side", "word").agg(F.sum("n").alias("n"))
-    total = (counts.where("side = 'n'").agg(F.sum("n")).first() or [0])[0] or 0
-    rows = counts.where((F.col("n") >= max(LEAST, int(total * RARE))) & (F.col("side") != "n")).collect()
-    s_n = {r.word: r.n for r in rows if r.side == "s" and not r.word.isdigit()}
-    t_n = {r.word: r.n for r in rows if r.side == "t" and not r.word.isdigit() and len(r.word) > 1 and r.word not in FUNCTION_WORDS}
-    sv, tv = sorted(s_n), sorted(t_n)
-    si, ti = {w: i for i, w in enumerate(sv)}, {w: i for i, w in enumerate(tv)}
-    base = np.array([t_n[w] for w in tv], dtype=np.float64) / max(total, 1)
-
-    def together(feed):
-        sums: dict[int, np.ndarray] = {}
-        for batch in feed:
-            for s, t in zip(batch["s"], batch["t"]):
-                cols = np.array(sorted({ti[w] for w in tokens(t) if w in ti}), dtype=np.int64)
-                for i in {si[w] for w in tokens(s) if w in si}:
-                    v = sums.get(i)
-                    if v is None:
-                        v = sums[i] = np.zeros(len(tv), dtype=np.int32)
-                    v[cols] += 1
-        for i, v in sums.items():
-            yield i, v.tobytes()
-
-    def best(feed):
-        sums: dict[int, np.ndarray] = {}
-        for batch in feed:
-            for i, blob in zip(batch["i"], batch["v"]):
-                v = np.frombuffer(blob, dtype=np.int32)
-                sums[i] = sums[i] + v if i in sums else v.astype(np.int64)
-        for i, v in sums.items():
-            n = s_n[sv[i]]
-            share = v / n
+        yield from ((side, w, HASHER.word(w) - (1 << 63), v, None, None) for (side, w), v in n.items())
+
+    rows = written(partition_stage(pairs, "kind string, word string, h long, n long, s binary, t binary", read), "pairs")
+    total = rows.where("kind = 'p'").count()
+    vocabulary = written(rows.where("kind <> 'p'").groupBy("kind", "word").agg(F.first("h").alias("h"), F.sum("n").alias("n")).where(F.col("n") >= LEAST), "vocabulary")
+    listed = lambda kind, test: vocabulary.where(F.col("kind") == kind).where(test).select("h", "n").toArrow()
+
+    def arrays(kind: str, test: str) -> tuple[np.ndarray, np.ndarray]:
+        t = listed(kind, test)
+        h = (t["h"].to_numpy().astype(np.int64).view(np.uint64)) ^ np.uint64(1 << 63)
+        order = np.argsort(h)
+        return h[order], t["n"].to_numpy()[order]
+
+    digits_ = "word rlike '^[0-9]+$'"
+    function = ", ".join(f"'{w}'" for w in sorted(FUNCTION_WORDS))
+    sv, s_n = arrays("s", f"not {digits_}")
+    tv, t_n = arrays("t", f"not {digits_} and length(word) > 1 and word not in ({function})")
+    known = np.unique(np.concatenate([arrays("s", "true")[0], arrays("t", "true")[0]]))
+
+    def places(blob: bytes, v: np.ndarray) -> np.ndarray:
+        h = np.frombuffer(blob, dtype=np.uint64)
+        at = np.minimum(np.searchsorted(v, h), len(v) - 1)
+        return at[v[at] == h]
+
+    def together(batches):
+        held, size, codes, counts = [], 0, np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+
+        def summed():
+            new, n = np.unique(np.concatenate(held), return_counts=True) if held else (codes[:0], counts[:0])
+            every, back = np.unique(np.concatenate([codes, new]), return_inverse=True)
+            return every, np.bincount(back, np.concatenate([counts, n]), len(every)).astype(np.int64)
+
+        for batch in batches:
+            for s, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                i, j = places(s, sv), places(t, tv)
+                held.append((i[:, None] * len(tv) + j).ravel())
+                size += len(held[-1])
+                if size > PAIRS_KEPT:
+                    codes, counts = summed()
+                    held, size = [], 0
+                    if len(codes) > PAIRS_KEPT:
+                        yield codes // len(tv), codes % len(tv), counts
+                        codes, counts = codes[:0], counts[:0]
+        codes, counts = summed()
+        for at in range(0, len(codes), 200_000):
+            c = codes[at : at + 200_000]
+            yield c // len(tv), c % len(tv), counts[at : at + 200_000]
+
+    def telling(batches):
+        for batch in batches:
+            i, j, n = (batch.column(k).to_numpy() for k in range(3))
+            share, base = n / s_n[i], t_n[j] / total
             excess = (share - base) / np.maximum(1 - base, 1e-6)
-            z = (share - base) / np.sqrt(base * (1 - base) / n + 1e-9)
-            for j in candidates(excess):
-                if excess[j] >= EXCESS and z[j] >= 3.5:
-                    yield sv[i], tv[j], float(excess[j])
-
-    entries: dict[str, dict[str, float]] = {}
-    if sv and tv:
-        vectors = partition_stage(pairs, "i int, v binary", together).repartition("i")
-        for r in partition_stage(vectors, "s string, t string, w double", best).collect():
-            entries.setdefault(r.s, {})[r.t] = r.w
-    for f, es in entries.items():  # a word's translation is its best one and those nearly as good
-        top = max(es.values())
-        entries[f] = {e: w / top for e, w in es.items() if w >= 0.8 * top}
+            keep = (excess >= EXCESS) & ((share - base) / np.sqrt(base * (1 - base) / s_n[i] + 1e-9) >= 3.5)
+            flat = lambda h: (h ^ np.uint64(1 << 63)).view(np.int64)
+            yield flat(sv[i[keep]]), flat(tv[j[keep]]), excess[keep]
+
+    found: dict[str, dict[str, float]] = {}
+    if len(sv) and len(tv):
+        counted = column_stage(rows.where("kind = 'p'").select("s", "t"), "i long, j long, n long", together).groupBy("i", "j").agg(F.sum("n").alias("n"))
+        few = column_stage(counted, "sh long, th long, w double", telling)
+        word = lambda k: vocabulary.where(F.col("kind") == k).select(F.col("h").alias(f"{k}h"), F.col("word").alias(f"{k}w"))
+        for r in few.join(word("s"), "sh").join(word("t"), "th").select("sw", "tw", "w").collect():
+            found.setdefault(r.sw, {})[r.tw] = r.w
+    entries = {f: es for f, ws in found.items() if (es := translations(ws))}
     if glossary is not None:
         for r in glossary.where("term is not null and gloss is not null").select("term", "gloss").collect():
             f, e = tokens(r.term), tokens(r.gloss)
             if len(f) == 1 and len(e) == 1 and f[0] not in entries:
                 entries[f[0]] = {e[0]: 1.0}
-    english = frozenset(e for es in entries.values() for e in es)
-    return Lexicon(entries, frozenset(sv) | frozenset(t_n) | frozenset(r.word for r in rows), english)
+    return Lexicon(entries, known, frozenset(e for es in entries.values() for e in es))
+
+
+def translations(excess: dict[str, float]) -> dict[str, float]:
+    """The best candidates and those nearly as good, by their share of the best; none where more than BEST are best."""
+    top = max(excess.values())
+    if sum(w >= top - 1e-9 for w in excess.values()) > BEST:
+        return {}
+    return {e: w / top for e, w in excess.items() if w >= NEAR * top}
 
 
 WEIGHT = {"~": 0.9}  # of a name, known by its skeleton only
@@ -304,7 +350,7 @@ def align_all(pairs: list[tuple[str, str]], lex: Lexicon, bounds: BoundaryModel,
         masses.append((np.maximum([len(x) for x in sv], 0.5), np.maximum([sum(x.values()) for x in tv], 0.5)))
     for i, (ss, ts), like, (a, b), plan in zip(at, spans, likes, masses, transports(likes, masses)):
         share = plan / np.minimum(a[:, None], b)
-        linked = (share >= SHARE) & (like >= LIKE)
+        linked = share >= SHARE
         out[i] = [(*ss[x], *ts[y], float(min(share[x, y], 1))) for x, y in zip(*np.nonzero(linked))]
         if unlinked:
             gone, new = 1 - plan.sum(axis=1) / a, 1 - plan.sum(axis=0) / b

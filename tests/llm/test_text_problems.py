@@ -255,7 +255,7 @@ def test_alignment_of_shuffled_merged_split_and_dropped(spark):
 
 def test_sentences_left_out_and_added_have_rows(spark):
     words = {f"शब्द{chr(0x915 + i)}": {"word" + chr(97 + i): 1.0} for i in range(12)}
-    lex = bitext.Lexicon(words, frozenset(words), frozenset(e for es in words.values() for e in es))
+    lex = bitext.Lexicon(words, bitext.np.sort(bitext.word_hashes(words)), frozenset(e for es in words.values() for e in es))
     say = lambda ws: " ".join(ws) + "."
     src, tgt = list(words), [next(iter(e)) for e in words.values()]
     s, t = f"{say(src[:4])} {say(src[4:8])}", f"{say(tgt[8:])} {say(tgt[:4])}"
@@ -267,6 +267,19 @@ def test_sentences_left_out_and_added_have_rows(spark):
     assert bitext.aligned_sentences(df, "id", "s", "t", lex, PRIOR).count() == 1
 
 
+def test_the_plan_decides_the_links(monkeypatch):
+    """Two renderings of three, one of which shares a word with the third sentence; without the transport all are linked."""
+    words = {f"शब्द{chr(0x915 + i)}": {"word" + chr(97 + i): 1.0} for i in range(12)}
+    lex = bitext.Lexicon(words, bitext.np.sort(bitext.word_hashes(words)), frozenset(e for es in words.values() for e in es))
+    a, b = list(words), ["word" + chr(97 + i) for i in range(12)]
+    src = ". ".join(" ".join(a[k : k + 4]) for k in (0, 4, 8)) + "."
+    tgt = " ".join(b[4:8]) + ". " + " ".join([*b[0:4], b[8]]) + "."
+    links = lambda: {(x[0], x[2]) for x in bitext.align_all([(src, tgt)], lex, PRIOR)[0]}
+    assert links() == {(0, tgt.index("worda")), (src.index(a[4]), 0)}
+    monkeypatch.setattr(bitext, "transports", lambda likes, masses: [x[0][:, None] + 0 * like for like, x in zip(likes, masses)])
+    assert len(links()) == 6
+
+
 def test_copies_and_ties_teach_no_words(spark):
     rnd = random.Random(8)
     rows = []
