@@ -1,12 +1,16 @@
 """Problem 10: text that was decoded in a wrong encoding.
 
-Noisy channel: the text that was meant is drawn from the corpus (frequencies of its characters and of its words with
-signs beyond ASCII); the channel encodes a span as UTF-8 or in a single-byte encoding and decodes it in another one, up
-to twice, and may lose bytes, which then stand as U+FFFD. For every run of characters that can be images of bytes above
-0x7F, a Viterbi search over a byte lattice chooses between keeping a character and reading several as the bytes of one;
-its states are the encodings, entering one costs CHANNEL nats, and a lost byte is a wildcard. Single-byte confusions and
-words with lost bytes are decided by the frequencies of whole words. Copies of a damaged text do not make it more likely:
-log-frequencies of characters, and a second comparison of words, count equal texts once.
+Noisy channel: the text that was meant is drawn from the corpus, by the frequencies of its words with signs beyond ASCII
+and, for other words, of its characters; the channel encodes a span as UTF-8 or in a single-byte encoding and decodes it
+in another one, up to twice, and may lose bytes, which then stand as U+FFFD.
+
+Every span of letters and characters that can be images of bytes above 0x7F is a byte lattice: a character may be kept,
+or several be read as the bytes of one, byte by byte, a lost byte being a wildcard for every byte it may have been. A
+Viterbi search runs through it under the word frequencies: its states are the encoding (entering one costs CHANNEL nats)
+and the place within a word, which is a prefix of words of the corpus, or an unknown word, scored by its characters.
+Wildcards take whatever characters fit the bytes that are left, so nothing is enumerated or cut off. Misreadings between
+single-byte encodings are decided by the frequencies of whole words. Copies of a damaged text do not make it more likely:
+frequencies count equal texts once, and single-byte misreadings are compared both ways.
 
 Defined results: null and blank texts are undamaged; a text with U+FFFD is damaged even where nothing can be restored;
 accents, rare signs and other scripts alone are no damage; ties keep the text as it is.
@@ -17,14 +21,16 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+from bisect import bisect_left
 from collections import Counter
 from functools import lru_cache
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import spread
 from ..arrow import arrow_stage, partition_stage
+from ..session import spread, written
+from .words import words
 
 # Encodings in which bytes are wrongly read, and in which they may have been meant.
 READ_AS = ("cp1252", "latin-1", "cp437", "cp1251", "mac_roman", "cp850", "koi8-r", "cp866", "cp1250", "iso8859-15")
@@ -33,6 +39,8 @@ LOST = "�"
 CHANNEL = 7.0  # nats for entering a wrong encoding
 WORD_RATIO = 15.0  # times a restored word must be more frequent than the word read
 LEAST_WORDS = 4
+WORD_SHARE = 5e-6  # words beyond ASCII with less than this share of them are unknown words, so at most 200,000 reach the driver
+SHORTEST = 2  # letters of a word the search knows; shorter ones are scored by their characters
 
 
 @lru_cache(maxsize=1)
@@ -51,9 +59,22 @@ def byte_tables() -> dict[str, dict[str, int]]:
 
 
 @lru_cache(maxsize=1)
-def image_pattern() -> re.Pattern:
+def image_span() -> re.Pattern:
+    """Letters of ASCII and images of bytes in a row, one image at least."""
     chars = {c for t in byte_tables().values() for c in t} | {LOST}
-    return re.compile("[" + "".join(re.escape(c) for c in sorted(chars)) + "]{2,}")
+    inner = "".join(re.escape(c) for c in sorted(chars))
+    return re.compile(f"[A-Za-z]*[{inner}][A-Za-z{inner}]*")
+
+
+@lru_cache(maxsize=1)
+def lead_pair() -> re.Pattern:
+    """A lead byte of UTF-8 and a byte that continues it, both read in one encoding, or a lost byte."""
+    ways = []
+    for t in byte_tables().values():
+        lead = "".join(re.escape(c) for c, b in sorted(t.items()) if 0xC2 <= b <= 0xF4)
+        more = "".join(re.escape(c) for c, b in sorted(t.items()) if b < 0xC0)
+        ways.append(f"[{lead}][{more}]")
+    return re.compile("|".join([LOST, *ways]))
 
 
 @lru_cache(maxsize=1)
@@ -70,114 +91,180 @@ def one_script(w: str) -> bool:
     return len(w) >= 2 and all(c.isalpha() and unicodedata.name(c, "").startswith("LATIN") for c in w)
 
 
+@lru_cache(maxsize=1 << 16)
+def in_word(c: str) -> bool:
+    k = unicodedata.category(c)
+    return k[0] in "LM" or k == "Nd"
+
+
+INSIDE = "\0"  # the place within an unknown word
+
+
 class Channel:
     """Log-frequencies of characters and of words beyond ASCII. chars and words count rows, once_chars and once_words
-    distinct texts."""
+    distinct texts; word_total is that of all words beyond ASCII by distinct texts."""
 
-    def __init__(self, chars: dict[str, int], words: dict[str, int], once_chars: dict[str, int], once_words: dict[str, int]) -> None:
-        self.chars, self.words, self.once_chars, self.once_words = chars, words, once_chars, once_words
+    def __init__(self, chars: dict[str, int], words: dict[str, int], once_chars: dict[str, int], once_words: dict[str, int], word_total: int) -> None:
+        self.chars, self.words, self.once_chars, self.once_words, self.word_total = chars, words, once_chars, once_words, word_total
         self.total = sum(once_chars.values()) + 1
         self.floor = math.log(0.05 / (sum(chars.values()) + 1))
         self.memo: dict[str, tuple[str, frozenset]] = {}
-        self.lost: dict[str, str] = {}
         self.tokens: dict[str, tuple[str, str]] = {}
-        for w, n in sorted(words.items(), key=lambda x: (x[1], x[0])):
-            if one_script(w):
-                self.lost["".join(c if c.isascii() else LOST * len(c.encode()) for c in w)] = w
-                self.lost["".join(c if c.isascii() else LOST for c in w)] = w
+        self.fits: dict[tuple, list[str]] = {}
+        self.alphabet = [(c.encode(), c) for c, n in sorted(chars.items()) if n >= LEAST_WORDS and not c.isascii() and c != LOST and not 0xD800 <= ord(c) < 0xE000]
+        self.listed = sorted(w for w in once_words if len(w) >= SHORTEST and all(map(in_word, w)) and not lead_pair().search(w))
+        self.lasting = {w: math.log(once_words[w] / max(word_total, 1)) for w in self.listed}
+        self.heads: dict[str, bool] = {}
 
     def __reduce__(self):
-        return Channel, (self.chars, self.words, self.once_chars, self.once_words)
+        return Channel, (self.chars, self.words, self.once_chars, self.once_words, self.word_total)
 
     def logp(self, c: str) -> float:
         n = self.once_chars.get(c, 0)
         return math.log(n / self.total) if n else self.floor
 
+    def starts_word(self, prefix: str) -> bool:
+        got = self.heads.get(prefix)
+        if got is None:
+            if len(self.heads) > 500_000:
+                self.heads.clear()
+            i = bisect_left(self.listed, prefix)
+            got = self.heads[prefix] = i < len(self.listed) and self.listed[i].startswith(prefix)
+        return got
+
+    def next_letters(self, prefix: str):
+        """Characters beyond ASCII with which a word of the corpus goes on."""
+        i, n = bisect_left(self.listed, prefix), len(prefix)
+        while i < len(self.listed) and self.listed[i].startswith(prefix):
+            if len(self.listed[i]) == n:
+                i += 1
+                continue
+            c = self.listed[i][n]
+            if not c.isascii():
+                yield c
+            i = bisect_left(self.listed, prefix + chr(ord(c) + 1)) if ord(c) < 0x10FFFF else len(self.listed)
+
     # --- UTF-8 read in a single-byte encoding -------------------------------------------------------------------
-    def sequences(self, run: str, at: int, enc: str, least: int = LEAST_WORDS):
-        """(characters read, character meant): the UTF-8 sequence that starts at a place of a run read in enc, if it means
-        a character that the corpus holds."""
+    def sequence(self, run: str, at: int, enc: str, least: int = LEAST_WORDS) -> tuple[int, list[str]] | None:
+        """(characters read, characters that may be meant): the UTF-8 sequence that starts at a place of a span read in
+        enc. Lost bytes may be any byte of a sequence that the encoding cannot show."""
         table = byte_tables()[enc]
         lead = table.get(run[at])
         if lead is None or not 0xC2 <= lead <= 0xF4:
-            return
+            return None
         size = 2 if lead < 0xE0 else 3 if lead < 0xF0 else 4
         if at + size > len(run):
-            return
-        options = [bytes([lead])]
+            return None
+        read: list[int | None] = [lead]
         for c in run[at + 1 : at + size]:
-            if c == LOST:
-                more = [0x81, 0x8D, 0x8F, 0x90, 0x9D] if enc == "cp1252" else range(0x80, 0xC0)
-            else:
-                b = table.get(c)
-                if b is None or not 0x80 <= b < 0xC0:
-                    return
-                more = [b]
-            options = [o + bytes([b]) for o in options for b in more]
-            if len(options) > 4096:
-                return
-        best = None
-        for o in options:
+            b = None if c == LOST else table.get(c, 0)
+            if b is not None and not 0x80 <= b < 0xC0:
+                return None
+            read.append(b)
+        if None not in read:
             try:
-                c = o.decode("utf-8")
+                c = bytes(read).decode("utf-8")
             except UnicodeDecodeError:
-                continue
-            if self.chars.get(c, 0) >= least and (best is None or self.logp(c) > self.logp(best)):
-                best = c
-        if best is not None:
-            yield size, best
+                return None
+            return (size, [c]) if self.chars.get(c, 0) >= least else None
+        lost = losable(enc)
+        key = (lost, *read)
+        if key not in self.fits:
+            self.fits[key] = [c for raw, c in self.alphabet if len(raw) == size and all(x == y or y is None and x in lost for x, y in zip(raw, read))]
+        return (size, self.fits[key]) if self.fits[key] else None
+
+    def moved(self, value: float, place: str, c: str):
+        """(value, place) after one more character, in each way to read it as a word."""
+        if in_word(c):
+            if place != INSIDE and self.starts_word(place + c):
+                yield value, place + c
+            if place in ("", INSIDE):
+                yield value + self.logp(c), INSIDE
+        elif place in ("", INSIDE):
+            yield value + self.logp(c), ""
+        elif place in self.lasting:
+            yield value + self.lasting[place] + self.logp(c), ""
 
     def viterbi(self, run: str) -> tuple[str, frozenset]:
-        """(text meant, encodings wrongly read) of a run."""
-        if run in self.memo:
-            return self.memo[run]
-        states = ["", *READ_AS]
-        n = len(run)
-        best: list[dict[str, tuple[float, int, str, str]]] = [{} for _ in range(n + 1)]
-        best[0][""] = (0.0, -1, "", "")
+        """(text meant, encodings wrongly read) of a span."""
+        got = self.memo.get(run)
+        if got is None:
+            if len(self.memo) > 50_000:
+                self.memo.clear()
+            got = self.memo[run] = self._viterbi(run)
+        return got
 
-        def relax(at: int, state: str, value: float, frm: int, prev: str, out: str) -> None:
+    def _viterbi(self, run: str) -> tuple[str, frozenset]:
+        n = len(run)
+        arcs: list[list[tuple[str, int, list[str]]]] = [[] for _ in range(n)]
+        for enc in READ_AS:
+            table = byte_tables()[enc]
+            for i, c in enumerate(run):
+                if c in table and (found := self.sequence(run, i, enc)):
+                    arcs[i].append((enc, *found))
+        if not any(arcs) and LOST not in run:
+            return run, frozenset()
+        some = run.strip(LOST) != ""  # of a span that is lost as a whole nothing is known
+        best: list[dict[tuple[str, str], tuple]] = [{} for _ in range(n + 1)]
+        best[0][("", "")] = (0.0, None, "")
+
+        def reach(at: int, state: tuple[str, str], value: float, frm: tuple, out: str) -> None:
             old = best[at].get(state)
             if old is None or value > old[0] + 1e-9:
-                best[at][state] = (value, frm, prev, out)
+                best[at][state] = (value, frm, out)
 
-        for i in range(n):
+        for i, c in enumerate(run):
             here = best[i]
-            if not here:
-                continue
-            keep = -16.0 if run[i] == LOST else self.logp(run[i])
-            top_state = max(here, key=lambda s: here[s][0])
-            top = here[top_state][0]
-            relax(i + 1, "", top + keep, i, top_state, run[i])
-            for enc in READ_AS:
-                for size, c in self.sequences(run, i, enc):
-                    value, prev = top - CHANNEL, top_state
-                    if enc in here and here[enc][0] > value:
-                        value, prev = here[enc][0], enc
-                    relax(i + size, enc, value + self.logp(c), i, prev, c)
-        at, state = n, max(best[n], key=lambda s: best[n][s][0])
+            top: dict[str, float] = {}
+            for (_, place), (value, _, _) in here.items():
+                top[place] = max(top.get(place, -math.inf), value)
+            lost = 0
+            while some and i + lost < n and run[i + lost] == LOST:
+                lost += 1
+            for (enc, place), (value, _, _) in list(here.items()):
+                if value < top[place] - CHANNEL - 1e-9:
+                    continue  # coming from the best state of this place and entering the encoding anew is better
+                frm = (i, (enc, place))
+                if c == LOST:
+                    if place in ("", INSIDE):
+                        reach(i + 1, ("", ""), value - 16.0, frm, c)
+                    elif place in self.lasting:
+                        reach(i + 1, ("", ""), value + self.lasting[place] - 16.0, frm, c)
+                    if place != INSIDE and lost and (place or i + lost < n):  # no word is read from lost bytes alone
+                        for x in self.next_letters(place):
+                            for size in {1, len(x.encode())}:
+                                if size <= lost:
+                                    reach(i + size, ("lost bytes", place + x), value - (0 if enc == "lost bytes" else CHANNEL), frm, x)
+                else:
+                    for v, p in self.moved(value, place, c):
+                        reach(i + 1, (enc if c.isascii() else "", p), v, frm, c)
+                for how, size, chars in arcs[i]:
+                    paid = value - (0 if how == enc else CHANNEL)
+                    for x in chars:
+                        for v, p in self.moved(paid, place, x):
+                            reach(i + size, (how, p), v, frm, x)
+        ended = {s: v[0] + (0 if s[1] in ("", INSIDE) else self.lasting[s[1]]) for s, v in best[n].items() if s[1] in ("", INSIDE) or s[1] in self.lasting}
+        kept = "".join(run)
+        at, state = n, max(ended, key=ended.get)
         parts, used, left = [], set(), []
         while at > 0:
-            _, frm, prev, out = best[at][state]
+            _, (at, before), out = best[at][state]
             parts.append(out)
-            if state:
-                used.add(state)
-            else:
+            if state[0] and not out.isascii():
+                used.add(state[0])
+            elif not state[0]:
                 left.append(out)
-            at, state = frm, prev
-        # A run that was misread was misread as a whole: no letter that stands for a byte may be left over, but for
+            state = before
+        # A span that was misread was misread as a whole: no letter that stands for a byte may be left over, but for
         # Latin ones, which accents give.
-        if used and any(c.isalpha() and not c.isascii() and any(c in byte_tables()[e] for e in used) and not unicodedata.name(c, "").startswith("LATIN") for c in left):
-            used = set()
-            parts = [run]
-        result = ("".join(reversed(parts)), frozenset(used))
-        if used:
-            again, more = self.viterbi(result[0]) if len(result[0]) > 1 else (result[0], frozenset())
-            result = (again, frozenset(used) | more)
-        if len(self.memo) > 50_000:
-            self.memo.clear()
-        self.memo[run] = result
-        return result
+        tables = [byte_tables()[e] for e in used if e in READ_AS]
+        if any(c.isalpha() and not c.isascii() and any(c in t for t in tables) and not unicodedata.name(c, "").startswith("LATIN") for c in left):
+            return kept, frozenset()
+        if not used:
+            return kept, frozenset()
+        text = "".join(reversed(parts))
+        again, more = self.viterbi(text) if text != run and lead_pair().search(text) else (text, frozenset())
+        return again, frozenset(used) | more
 
     def twice(self, run: str) -> tuple[str, frozenset]:
         """Text that was misread twice: the inner reading is rare itself, so both steps are tried as one."""
@@ -187,9 +274,9 @@ class Channel:
                 continue
             inner, i, ok = [], 0, False
             while i < len(run):
-                got = next(iter(self.sequences(run, i, enc, 0)), None)
+                got = self.sequence(run, i, enc, 0)
                 if got:
-                    inner.append(got[1])
+                    inner.append(max(got[1], key=self.logp))
                     i += got[0]
                     ok = True
                 else:
@@ -214,15 +301,14 @@ class Channel:
             got = self.tokens[token] = self._word(token)
         return got
 
+    def seen(self, word: str, counts: dict[str, int]) -> int:
+        return max(counts.get(word, 0), counts.get(word.lower(), 0))
+
     def likelier(self, word: str, read: str) -> bool:
         """Whether a word is so much more frequent than the word read, by rows or by distinct texts."""
-        return any(n.get(word, 0) >= LEAST_WORDS and n[word] > WORD_RATIO * (n.get(read, 0) + 0.2) for n in (self.words, self.once_words))
+        return any(self.seen(word, n) >= LEAST_WORDS and self.seen(word, n) > WORD_RATIO * (self.seen(read, n) + 0.2) for n in (self.words, self.once_words))
 
     def _word(self, token: str) -> tuple[str, str]:
-        key = token.lower()
-        if LOST in token:
-            w = self.lost.get(key)
-            return (w, "lost bytes") if w else (token, "")
         best, how = None, ""
         for enc in READ_AS:
             try:
@@ -236,8 +322,8 @@ class Channel:
                     w = raw.decode(meant)
                 except UnicodeDecodeError:
                     continue
-                n = self.words.get(w.lower(), 0)
-                if w != token and one_script(w) and self.likelier(w.lower(), key) and (best is None or n > best[1]):
+                n = self.seen(w, self.words)
+                if w != token and one_script(w) and self.likelier(w, token) and (best is None or n > best[1]):
                     best, how = (w, n), enc
         return (best[0], how) if best else (token, "")
 
@@ -248,11 +334,12 @@ class Channel:
         used: set[str] = set()
 
         def run(m: re.Match) -> str:
-            if m.group() in PLAIN_RUNS:
-                return m.group()
-            out, how = self.viterbi(m.group())
+            span = m.group()
+            if not lead_pair().search(span):
+                return span
+            out, how = self.viterbi(span)
             if not how:
-                out, how = self.twice(m.group())
+                out, how = self.twice(span)
             used.update(how)
             return out
 
@@ -262,22 +349,31 @@ class Channel:
                 used.add(how)
             return out
 
-        text = image_pattern().sub(run, text)
+        text = image_span().sub(run, text)
         text = odd_token().sub(token, text)
         if LOST in text:
             used.add("lost")
         return text, used
 
 
-PLAIN_RUNS = frozenset({"…”", "”…", "’”", "‘“", "“‘", "”’", "é”", "…’"})
+@lru_cache(maxsize=16)
+def losable(enc: str) -> frozenset[int]:
+    """Bytes that are lost when read in an encoding: those it has no character for, or any, where it has one for each."""
+    gone = set()
+    for b in range(0x80, 0x100):
+        try:
+            bytes([b]).decode(enc)
+        except UnicodeDecodeError:
+            gone.add(b)
+    return frozenset(gone or range(0x80, 0x100))
 
 
 def fit_channel(tables: list[tuple[DataFrame, str]]) -> Channel:
     """Counts over all texts, by rows and by distinct texts. The driver gets characters (an alphabet) and the words beyond
-    ASCII that occur LEAST_WORDS times or more."""
+    ASCII that occur LEAST_WORDS times or more and make up WORD_SHARE of all, 1 / WORD_SHARE at most."""
 
     def counted(feed):
-        chars, words = (Counter(), Counter()), (Counter(), Counter())  # by distinct texts, by rows beyond one a text
+        chars, found = (Counter(), Counter()), (Counter(), Counter())  # by distinct texts, by rows beyond one a text
 
         def rows(kind, counts):
             return ((kind, x, n, n + counts[1][x]) for x, n in counts[0].items())
@@ -286,18 +382,24 @@ def fit_channel(tables: list[tuple[DataFrame, str]]) -> Channel:
             for t, copies in zip(batch["text"], batch["copies"]):
                 own = Counter(t)
                 chars[0].update(own)
-                odd = Counter() if t.isascii() else Counter(w.lower() for w in odd_token().findall(t))
-                words[0].update(odd)
+                odd = Counter()
+                if not t.isascii():
+                    if lead_pair().search(t):  # what may be damaged is no evidence of words
+                        t = image_span().sub(lambda m: " " if lead_pair().search(m.group()) else m.group(), t)
+                    odd.update(w for w in words(t) if not w.isascii())
+                    odd.update(w for w in odd_token().findall(t) if not w.isalpha())
+                    odd.update([""] * odd.total())
+                found[0].update(odd)
                 if copies > 1:
-                    for total, one in ((chars[1], own), (words[1], odd)):
+                    for total, one in ((chars[1], own), (found[1], odd)):
                         for x, n in one.items():
                             total[x] += n * (copies - 1)
-            if len(words[0]) > 200_000:
-                yield from rows("w", words)
-                words[0].clear()
-                words[1].clear()
+            if len(found[0]) > 200_000:
+                yield from rows("w", found)
+                found[0].clear()
+                found[1].clear()
         yield from rows("c", chars)
-        yield from rows("w", words)
+        yield from rows("w", found)
 
     texts = None
     for df, col in tables:
@@ -305,9 +407,11 @@ def fit_channel(tables: list[tuple[DataFrame, str]]) -> Channel:
         texts = t if texts is None else texts.unionByName(t)
     distinct = texts.groupBy("text").agg(F.count("*").alias("copies"))
     parts = partition_stage(distinct, "kind string, item string, once long, n long", counted)
-    found = parts.groupBy("kind", "item").agg(F.sum("once").alias("once"), F.sum("n").alias("n")).where(f"kind = 'c' or n >= {LEAST_WORDS}").collect()
+    counts = written(parts.groupBy("kind", "item").agg(F.sum("once").alias("once"), F.sum("n").alias("n")), "channel")
+    total = next((r.once for r in counts.where("kind = 'w' and item = ''").collect()), 0)
+    found = counts.where(f"kind = 'c' or item <> '' and n >= {LEAST_WORDS} and once >= {WORD_SHARE * total}").collect()
     of = lambda kind, least, k: {r.item: r[k] for r in found if r.kind == kind and r[k] >= least}
-    return Channel(of("c", 0, "n"), of("w", LEAST_WORDS, "n"), of("c", 0, "once"), of("w", LEAST_WORDS, "once"))
+    return Channel(of("c", 0, "n"), of("w", LEAST_WORDS, "n"), of("c", 0, "once"), of("w", 1, "once"), total)
 
 
 def repaired(df: DataFrame, id_col: str, text_col: str, channel: Channel) -> DataFrame:

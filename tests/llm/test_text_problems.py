@@ -351,5 +351,35 @@ def test_copies_of_a_damaged_text_are_found(spark):
     assert got == {100 + i: "the café by the river" for i in range(100)}
 
 
+def test_wildcards_are_searched_whole(spark):
+    """A sign of four bytes of which three are lost, and a word whose lost bytes only the word frequencies decide."""
+    rows = [(f"note {i}: 😀 सुरुस नदी, सेव के पास",) for i in range(30)] + [(f"more {i}: सेरेस",) for i in range(5)]
+    channel = encodings.fit_channel([(spark.createDataFrame(rows, "t string"), "t")])
+    cut = lambda w, keep: "".join(c if k in keep else encodings.LOST for k, c in enumerate(w.encode().decode("cp437")))
+    assert channel.repair("x " + cut("😀", {0}))[0] == "x 😀"
+    lossy = "सुरुस".encode().decode("cp1252", "replace")
+    assert encodings.LOST in lossy and channel.repair(f"so {lossy} it")[0] == "so सुरुस it"
+    assert channel.repair("�" * 3) == ("�" * 3, {"lost"})
+
+
+def test_restored_words_equal_the_originals(spark, data):
+    """Texts of the test data without damage, every tenth damaged here in one of five ways, against their originals."""
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{data}/documents.parquet").collect() if r.text and encodings.LOST not in r.text]
+    clean = encodings.fit_channel([(spark.createDataFrame(docs, "id long, t string"), "t")])
+    docs = [(i, t) for i, t in docs if not clean.repair(t)[1] and not t.isascii()]
+
+    def read(enc):
+        table = {b: c for c, b in encodings.byte_tables()[enc].items()}
+        return lambda t: "".join(chr(b) if b < 0x80 else table[b] for b in t.encode())
+
+    ways = [lambda t: t.encode().decode("cp1252", "replace"), read("cp1252"), read("mac_roman"), read("cp437"), lambda t: read("cp1252")(read("cp1252")(t))]
+    bad = {i: ways[k // 10 % 5](t) for k, (i, t) in enumerate(docs) if k % 10 == 0}
+    df = spark.createDataFrame([(i, bad.get(i, t)) for i, t in docs], "id long, t string")
+    got = {r.id: r.restored for r in encodings.repaired(df, "id", "t", encodings.fit_channel([(df, "t")])).collect()}
+    words_ = [(x, y) for i, t in docs if i in bad for x, y, z in zip(t.split(" "), got[i].split(" "), bad[i].split(" ")) if x != z]
+    right = sum(x == y for x, y in words_) / len(words_)
+    assert set(got) == set(bad) and len(words_) > 100 and right > 0.9, right
+
+
 def test_words():
     assert words("नमस्ते, दुनिया-1! a_b") == ["नमस्ते", "दुनिया", "1", "a", "b"]
