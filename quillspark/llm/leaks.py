@@ -1,113 +1,179 @@
-"""Problem 8: test passages inside a large corpus.
+"""Problem 8: test passages inside a large corpus, by size-partitioned MinHash containment search.
 
-What must be found is the smallest passage that counts as a leak, a run of `run` words; as a set of word shingles it is
-wholly contained in a document that leaks it, but its Jaccard likeness to a long document is close to nothing. So both
-sides are partitioned by size down to domains of one size, the windows of `run` words: there containment and likeness
-agree, a leaked passage has likeness 1 in some pair of windows, and one MinHash register per window finds it without a
-miss. Windows that follow each other mostly share their minimum, so a text keeps few of them. The size class of a text
-(log2 of its words) is reported with the estimated containment of the item, matched minima over the item's minima.
-Candidates are verified by exact containment of a shingle of `run` words.
+A passage counts as leaked when a document holds `run` of its words in a row, which share run - SHINGLE + 1 of their
+shingles with it, however long the document is. Documents are partitioned by size: up to SIZES[-1] words a document is
+one domain of its size class, a longer one is cut into domains of that size that overlap by run - 1 words; items are cut
+into queries of ITEM_WORDS words in the same way, so every run lies whole in a domain and in a query. In a class of at
+most u shingles, a leak has a likeness of at least s = k / (u + q - k) with k shared shingles and q in the query; the class
+has as many MinHash registers as it takes for a pair of likeness s to agree in none with a probability of MISS. Small
+domains need few registers, large ones many. Pairs that agree in a register are verified exactly, run by run, and
+the share of the item's shingles the document holds is reported.
 
 Defined results: null and blank texts and texts of fewer than `run` words leak nothing; repeated rows give one row;
-copies of an item are each reported.
+copies of an item are each reported; the size class is that of the whole document, log2 of its words.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import spread
 from ..arrow import arrow_stage
+from ..session import spread, written
 from .lookalike import Rewriter
-from .neardup import Hasher, mix
+from .neardup import Hasher, mix, seeds
 from .words import words
 
-SHINGLE = 5  # words of the shingles whose hashes are minimised
-IN_MEMORY = 2_000_000  # item minima up to which documents are filtered before the join; beyond it, the join does all
-
-
-def window_minima(h: np.ndarray, run: int, shingle: int) -> tuple[np.ndarray, np.ndarray]:
-    """(minimum of each window of run words, start of the shingle that has it) from the hashes of the words."""
-    g = np.zeros(len(h) - shingle + 1, dtype=np.uint64)
-    for k in range(shingle):
-        g = mix(g * np.uint64(0x9E3779B97F4A7C15) + h[k : len(h) - shingle + 1 + k])
-    width = run - shingle + 1
-    low = g[: len(g) - width + 1].copy()
-    for k in range(1, width):
-        np.minimum(low, g[k : len(g) - width + 1 + k], out=low)
-    return low, g
-
-
-def passages(texts: list[list[str]], h: np.ndarray, run: int, shingle: int, wanted: np.ndarray | None):
-    """(text number, minimum, words of the windows that have it), one per run of windows with one minimum. All texts of
-    a batch are searched at once; windows across their ends are left out."""
-    sizes = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
-    low, _ = window_minima(h, run, shingle)
-    owner = np.repeat(np.arange(len(texts)), sizes)[: len(low)]
-    inside = np.arange(len(low)) + run <= np.cumsum(sizes)[owner]
-    if wanted is not None:
-        inside &= wanted[np.minimum(np.searchsorted(wanted, low), len(wanted) - 1)] == low
-    at = np.flatnonzero(inside)
-    if not len(at):
-        return
-    new = np.concatenate(([True], (at[1:] != at[:-1] + 1) | (low[at[1:]] != low[at[:-1]]) | (owner[at[1:]] != owner[at[:-1]])))
-    firsts = np.flatnonzero(new)
-    lasts = np.concatenate((firsts[1:], [len(at)])) - 1
-    starts = np.concatenate(([0], np.cumsum(sizes)))
-    for a, b in zip(at[firsts].tolist(), at[lasts].tolist()):
-        k = int(owner[a])
-        yield k, int(low[a].astype(np.int64)), " ".join(texts[k][a - starts[k] : b - starts[k] + run])
-
-
-def minima(df: DataFrame, id_col: str, text_col: str, mapping: dict[str, str], run: int, wanted: np.ndarray | None = None) -> DataFrame:
-    rw, hasher = Rewriter(mapping), Hasher(1)
-    shingle = min(SHINGLE, run)
-
-    def scan(batch):
-        ids, texts = [], []
-        for rid, text in zip(batch["_id"], batch["_text"]):
-            if rid is not None and text:
-                ws = words(rw(text).lower())
-                if len(ws) >= run:
-                    ids.append(rid)
-                    texts.append(ws)
-        if not texts:
-            return
-        known, word = hasher.cache, hasher.word
-        h = np.fromiter((known.get(w) or word(w) for ws in texts for w in ws), dtype=np.uint64)
-        for k, low, passage in passages(texts, h, run, shingle, wanted):
-            yield ids[k], low, passage, len(texts[k]).bit_length() - 1
-
-    kind = df.schema[id_col].dataType.simpleString()
-    return arrow_stage(spread(df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))), f"id {kind}, low long, passage string, size_class int", scan)
+SHINGLE = 5  # words of a shingle
+SIZES = (32, 48, 64, 96, 128, 192, 256)  # greatest words of a domain, by size class
+ITEM_WORDS = 64  # words of a query
+MISS = 1e-5  # probability to overlook the smallest leak
+IN_MEMORY = 4_000_000  # register values of items up to which they are searched where documents are read; beyond it, joined
+
+
+def cuts(n: int, size: int, run: int) -> list[tuple[int, int]]:
+    """Spans of at most size words that cover n words so that every run of `run` words lies in one."""
+    size = max(size, run)
+    out, at = [], 0
+    while True:
+        out.append((at, min(at + size, n)))
+        if at + size >= n:
+            return out
+        at += size - run + 1
+
+
+def registers_of(size: int, run: int, shingle: int) -> int:
+    """Registers of the class of domains of up to `size` words."""
+    shared = run - shingle + 1
+    least = shared / (max(size, run) + max(ITEM_WORDS, run) - 2 * (shingle - 1) - shared)
+    return math.ceil(math.log(MISS) / math.log1p(-least)) if least < 1 else 1
+
+
+class Domains:
+    """Cuts texts into domains and computes the register values of their size classes."""
+
+    def __init__(self, run: int) -> None:
+        self.run, self.shingle = run, min(SHINGLE, run)
+        self.sizes = [s for s in SIZES if s >= run] or [run]
+        self.counts = [registers_of(s, run, self.shingle) for s in self.sizes]
+        self.seed = seeds(max(self.counts))
+        self.number = mix(np.arange(1, max(self.counts) + 1, dtype=np.uint64))
+        self.hasher = Hasher(1)
+
+    def __reduce__(self):
+        return Domains, (self.run,)
+
+    def hashes(self, ws: list[str]) -> np.ndarray:
+        known, word = self.hasher.cache, self.hasher.word
+        return np.fromiter((known.get(w) or word(w) for w in ws), dtype=np.uint64, count=len(ws))
+
+    def shingles(self, h: np.ndarray) -> np.ndarray:
+        n = self.shingle
+        g = np.zeros(len(h) - n + 1, dtype=np.uint64)
+        for k in range(n):
+            g = mix(g * np.uint64(0x9E3779B97F4A7C15) + h[k : len(h) - n + 1 + k])
+        return g
+
+    def spans(self, n: int) -> list[tuple[int, int, int]]:
+        """(start, end, registers) of the domains of a text of n words."""
+        return [(a, b, self.counts[next(i for i, s in enumerate(self.sizes) if s >= b - a)]) for a, b in cuts(n, self.sizes[-1], self.run)]
+
+    def values(self, g: np.ndarray, m: int) -> np.ndarray:
+        """The first m register values of a set of shingles, each mixed with its register's number."""
+        low = np.full(m, np.iinfo(np.uint64).max, dtype=np.uint64)
+        for at in range(0, len(g), 512):
+            h = (g[at : at + 512, None] ^ self.seed[:m]) * np.uint64(0xD6E8FEB86659FD93)
+            h ^= h >> np.uint64(32)
+            h *= np.uint64(0xD6E8FEB86659FD93)
+            np.minimum(low, h.min(axis=0), out=low)
+        return mix(low ^ self.number[:m])
+
+
+def runs(ws: list[str], run: int) -> set[str]:
+    return {" ".join(ws[k : k + run]) for k in range(len(ws) - run + 1)}
+
+
+class Items:
+    """Items in memory: their register values, sorted, the queries that have each, and what verifies a candidate."""
+
+    def __init__(self, texts: list[tuple[object, list[str]]], domains: Domains) -> None:
+        self.ids, self.runs, self.shingles, values, owners = [], [], [], [], []
+        for iid, ws in texts:
+            h = domains.hashes(ws)
+            for a, b in cuts(len(ws), ITEM_WORDS, domains.run):
+                values.append(domains.values(domains.shingles(h[a:b]), len(domains.seed)))
+                owners.append(np.full(len(values[-1]), len(self.ids)))
+            self.ids.append(iid)
+            self.runs.append(runs(ws, domains.run))
+            self.shingles.append(np.unique(domains.shingles(h)))
+        v, o = (np.concatenate(values), np.concatenate(owners)) if values else (np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64))
+        order = np.argsort(v, kind="stable")
+        self.values, self.owners = v[order], o[order]
+
+    def candidates(self, values: np.ndarray) -> set[int]:
+        lo, hi = np.searchsorted(self.values, values), np.searchsorted(self.values, values, side="right")
+        hit = np.flatnonzero(hi > lo)
+        return set(np.concatenate([self.owners[lo[k] : hi[k]] for k in hit]).tolist()) if len(hit) else set()
+
+
+def word_lists(rw: Rewriter, run: int, ids: list, texts: list):
+    for rid, text in zip(ids, texts):
+        if rid is not None and text:
+            ws = words(rw(text).lower())
+            if len(ws) >= run:
+                yield rid, ws
+
+
+def contained(item: np.ndarray, doc: np.ndarray) -> float:
+    return float(np.isin(item, doc).mean())
 
 
 def leaks(docs: DataFrame, doc_id: str, text: str, items: DataFrame, item_id: str, item_text: str, mapping: dict[str, str], run: int = 12) -> DataFrame:
     """(<doc_id>, <item_id>, size_class, containment): documents and the items of which they hold run words in a row."""
-    wanted_rows = minima(items, item_id, item_text, mapping, run).select(F.col("id").alias("item"), "low", F.col("passage").alias("item_passage")).persist()
-    lows = wanted_rows.select("low").distinct()
-    n = lows.limit(IN_MEMORY + 1).count()
-    small = 0 < n <= IN_MEMORY
-    wanted = np.sort(np.array([r.low for r in lows.collect()], dtype=np.int64).astype(np.uint64)) if small else None
-    found = minima(docs, doc_id, text, mapping, run, wanted)
-    right = F.broadcast(wanted_rows) if small and n <= IN_MEMORY // 10 else wanted_rows
-    pairs = found.join(right, "low")
+    rw, domains = Rewriter(mapping), Domains(run)
+    dk, ik = docs.schema[doc_id].dataType.simpleString(), items.schema[item_id].dataType.simpleString()
+    docs = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"))
+    items = items.select(F.col(item_id).alias("_id"), F.col(item_text).alias("_text"))
+    schema = f"`{doc_id}` {dk}, `{item_id}` {ik}, size_class int, containment double"
+    once = lambda df: df.groupBy(doc_id, item_id).agg(F.max("size_class").alias("size_class"), F.max("containment").alias("containment"))
+    n = items.agg(F.sum(F.length("_text"))).first()[0] or 0  # a query has no less than one character a word
+    if n / ITEM_WORDS * len(domains.seed) <= IN_MEMORY:
+        known = Items(list(word_lists(rw, run, *zip(*[(r[0], r[1]) for r in items.dropDuplicates().collect()] or [((), ())]))) if n else [], domains)
+
+        def search(batch):
+            for rid, ws in word_lists(rw, run, batch["_id"], batch["_text"]):
+                h, found = domains.hashes(ws), set()
+                for a, b, m in domains.spans(len(ws)):
+                    near = known.candidates(domains.values(domains.shingles(h[a:b]), m)) - found
+                    if near:
+                        have = runs(ws[a:b], run)
+                        found |= {k for k in near if not have.isdisjoint(known.runs[k])}
+                if found:
+                    g = domains.shingles(h)
+                    for k in sorted(found):
+                        yield rid, known.ids[k], len(ws).bit_length() - 1, contained(known.shingles[k], g)
+
+        return once(arrow_stage(spread(docs), schema, search))
+
+    def registers(batch, of):
+        for rid, ws in word_lists(rw, run, batch["_id"], batch["_text"]):
+            h = domains.hashes(ws)
+            for a, b, m in of(len(ws)):
+                for v in np.unique(domains.values(domains.shingles(h[a:b]), m)).view(np.int64).tolist():
+                    yield v, rid
+
+    left = arrow_stage(spread(docs), f"v long, d {dk}", lambda b: registers(b, domains.spans))
+    right = arrow_stage(spread(items), f"v long, i {ik}", lambda b: registers(b, lambda n: [(x, y, len(domains.seed)) for x, y in cuts(n, ITEM_WORDS, run)]))
+    near = written(left.join(right, "v").select("d", "i").distinct(), "leaks")
+    pairs = near.join(docs.dropDuplicates().select(F.col("_id").alias("d"), F.col("_text").alias("dt")), "d").join(items.dropDuplicates().select(F.col("_id").alias("i"), F.col("_text").alias("it")), "i")
 
     def verify(batch):
-        for d, i, low, size, a, b in zip(*(batch[c] for c in ("id", "item", "low", "size_class", "passage", "item_passage"))):
-            x, y = a.split(" "), b.split(" ")
-            have = {tuple(y[k : k + run]) for k in range(len(y) - run + 1)}
-            if any(tuple(x[k : k + run]) in have for k in range(len(x) - run + 1)):
-                yield d, i, low, size
+        for d, i, dt, it in zip(*(batch[c] for c in ("d", "i", "dt", "it"))):
+            x, y = words(rw(dt).lower()), words(rw(it).lower())
+            if len(x) >= run and len(y) >= run and not runs(x, run).isdisjoint(runs(y, run)):
+                yield d, i, len(x).bit_length() - 1, contained(np.unique(domains.shingles(domains.hashes(y))), domains.shingles(domains.hashes(x)))
 
-    dk, ik = docs.schema[doc_id].dataType.simpleString(), items.schema[item_id].dataType.simpleString()
-    sure = arrow_stage(pairs, f"d {dk}, i {ik}, low long, size_class int", verify)
-    per_item = wanted_rows.groupBy(F.col("item").alias("i")).agg(F.countDistinct("low").alias("all_lows"))
-    return (
-        sure.groupBy("d", "i")
-        .agg(F.max("size_class").alias("size_class"), F.countDistinct("low").alias("lows"))
-        .join(per_item, "i")
-        .select(F.col("d").alias(doc_id), F.col("i").alias(item_id), "size_class", (F.col("lows") / F.col("all_lows")).alias("containment"))
-    )
+    return once(arrow_stage(pairs.select("d", "i", "dt", "it"), schema, verify))

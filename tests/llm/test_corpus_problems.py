@@ -87,6 +87,26 @@ def test_leaks_equal_brute_force(spark, monkeypatch, in_memory):
     assert got == want and want
 
 
+def test_size_classes():
+    """Every run lies whole in a domain and in a query, large domains have more registers, and short leaks in long texts are found."""
+    d = leaks.Domains(12)
+    assert d.counts == sorted(d.counts) and all((1 - 8 / (s - 4 + 60 - 8)) ** m <= leaks.MISS for s, m in zip(d.sizes, d.counts))
+    for n in (12, 13, 64, 65, 256, 257, 1000):
+        for size in (leaks.ITEM_WORDS, d.sizes[-1]):
+            spans = leaks.cuts(n, size, 12)
+            assert all(b - a <= size for a, b in spans) and all(any(a <= k and k + 12 <= b for a, b in spans) for k in range(n - 11))
+    rnd = random.Random(1)
+    items = [(i, [f"i{i}w{rnd.randrange(9999)}" for _ in range(90)]) for i in range(40)]
+    known, found = leaks.Items(items, d), 0
+    for i, ws in items:
+        at = rnd.randrange(79)
+        doc = [f"x{rnd.randrange(9999)}" for _ in range(2000)]
+        doc[1500:1512] = ws[at : at + 12]
+        h = d.hashes(doc)
+        found += any(i in known.candidates(d.values(d.shingles(h[a:b]), m)) for a, b, m in d.spans(len(doc)))
+    assert found == 40
+
+
 def test_mix(spark):
     rnd = random.Random(6)
     docs = [(i, "big" if i % 3 else " Small ", " ".join(["word"] * rnd.randint(5, 30)) + f" {i}") for i in range(600)]
