@@ -34,7 +34,8 @@ def quality_weight(text: str = "text") -> F.Column:
 
 def mix(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weight: F.Column | None = None, total_tokens: int | None = None, seed: int = 42, counter=None) -> tuple[DataFrame, DataFrame]:
-    """(mix, shares): (<id>, source, n_tokens, copies), and per source the target and actual shares.
+    """(mix, shares): (<id>, source, n_tokens, copies), and per source the target and actual shares; texts_of_other_sources
+    are those it holds too but that count as another target source's, which has them under a smaller id.
 
     Without total_tokens, the total is the largest for which every source that has texts reaches its share."""
     w = quality_weight(text_col) if weight is None else weight
@@ -46,10 +47,11 @@ def mix(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_col: s
     t = targets.select(folded("source").alias("source"), "target_share", "max_repeats").where("target_share > 0 and source is not null")
     t = t.groupBy("source").agg(F.sum("target_share").alias("target_share"), F.max("max_repeats").alias("max_repeats"))
     wanted = counted.join(t.select("source"), "source", "left_semi")  # before the choice: a text is kept if any target source holds it
-    one = wanted.groupBy("text_key").agg(F.min_by(F.struct("id", "source", "w", "n_tokens"), F.struct("id", "source")).alias("r")).select("r.*")
+    first = F.min_by(F.struct("id", "source", "w", "n_tokens"), F.struct("id", "source"))
+    one = wanted.groupBy("text_key").agg(first.alias("r"), F.collect_set("source").alias("held")).select("r.*", F.array_remove("held", F.col("r.source")).alias("others"))
     u = (F.shiftrightunsigned(F.xxhash64(F.col("id").cast("string"), F.lit(seed)), 11) + 0.5) / float(1 << 53)
     keyed = one.select(
-        "id", "source", "n_tokens", (-F.log(u) / F.greatest(F.coalesce("w", F.lit(LEAST_WEIGHT)), F.lit(LEAST_WEIGHT))).alias("key")
+        "id", "source", "n_tokens", "others", (-F.log(u) / F.greatest(F.coalesce("w", F.lit(LEAST_WEIGHT)), F.lit(LEAST_WEIGHT))).alias("key")
     )
     keyed = written(keyed.withColumn("bucket", F.floor(F.col("key") / (1 + F.col("key")) * BUCKETS)), "mix")
     sums = keyed.groupBy("source", "bucket").agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("n"))
@@ -71,9 +73,10 @@ def mix(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_col: s
     )
     chosen = picked.where("copies > 0").select(F.col("id").alias(id_col), "source", "n_tokens", "copies")
     used = chosen.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("copies")).alias("tokens"), F.max("copies").alias("most_copies"))
-    shares = plan.join(used, "source", "left").select(
+    given = keyed.select(F.explode("others").alias("source")).groupBy("source").agg(F.count("*").alias("given"))
+    shares = plan.join(used, "source", "left").join(given, "source", "left").select(
         "source", "target_share", "max_repeats", "texts", F.col("have").alias("tokens_available"), F.coalesce("tokens", F.lit(0)).alias("tokens_used"),
-        F.coalesce("most_copies", F.lit(0)).alias("most_copies"),
+        F.coalesce("most_copies", F.lit(0)).alias("most_copies"), F.coalesce("given", F.lit(0)).alias("texts_of_other_sources"),
         F.coalesce(F.col("tokens") / F.sum("tokens").over(everything), F.lit(0.0)).alias("actual_share"),
     )
     return chosen, shares

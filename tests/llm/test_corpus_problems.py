@@ -131,7 +131,7 @@ def test_mix_keeps_texts_first_seen_outside_the_targets(spark):
     t = spark.createDataFrame([("big", 0.5, 1), ("small", 0.5, 1)], "source string, target_share double, max_repeats int")
     chosen, shares = mixing.mix(df, t)
     assert {(r.doc_id, r.source, r.copies) for r in chosen.collect()} == {(2, "big", 1), (4, "big", 1)}
-    assert {r.source: r.texts for r in shares.collect()} == {"big": 2, "small": 0}
+    assert {r.source: (r.texts, r.texts_of_other_sources) for r in shares.collect()} == {"big": (2, 0), "small": (0, 1)}
 
 
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
