@@ -4,7 +4,7 @@ Every annotation is read bottom-up into a Merkle tree: an object's identity is t
 canonical form and the identities of its children, in order. Identical objects, and so identical subtrees, are stored
 once; every occurrence is a bridge row with its place, ordinal and parent.
 
-Defined results: null, blank and broken-off JSON gives no rows; wrappers, code fences and JSON inside a JSON string are
+Defined results: null, blank and broken-off JSON gives no rows but a status; nesting of any depth is read; wrappers, code fences and JSON inside a JSON string are
 taken off; compact keys are read as full ones (a full key wins); an object where a list belongs is a list of one; null
 and other elements that are no objects keep their position and give no row; repeated result ids give their rows each.
 """
@@ -18,7 +18,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..arrow import arrow_stage
+from ..arrow import arrow_stage, partition_stage
 from ..session import spread
 
 # Compact keys by kind of object, and the fields that hold objects.
@@ -38,25 +38,87 @@ CHILD_OBJECTS = {"metaphor_span": {"metaphor_mapping": "metaphor_mapping"}}
 TOP_KEYS = {"recitation_style", "emotional_arc", "theme", "stanzas", "cultural_entities", "rs", "ea", "st", "ce"}
 
 FENCE = re.compile(r"```[A-Za-z]*\s*(.*?)\s*```", re.S)
+TOKEN = re.compile(r"[ \t\n\r]*([\[\]{},:]|[^\s\[\]{},:\"][^\s\[\]{},:]*|\")")
+
+
+def load(text: str) -> object:
+    """json.loads; text nested deeper than its parser goes is read with a stack of our own."""
+    try:
+        return json.loads(text)
+    except RecursionError:
+        return load_deep(text)
+
+
+def load_deep(text: str) -> object:
+    """JSON of any depth. Containers are on a stack, scalars are read by json; ValueError for what is no JSON."""
+    scalar = json.JSONDecoder().raw_decode
+    root: list = []
+    stack: list[tuple[object, object]] = [(root, None)]  # container, key that waits for its value
+    at, want = 0, "value"
+
+    def put(v: object) -> None:
+        box, key = stack[-1]
+        if isinstance(box, list):
+            box.append(v)
+        else:
+            box[key] = v
+
+    while True:
+        m = TOKEN.match(text, at)
+        if not m:
+            if text[at:].strip(" \t\n\r") or len(stack) > 1 or want != "next" or len(root) != 1:
+                raise ValueError("not JSON")
+            return root[0]
+        t, start = m.group(1), m.start(1)
+        at = m.end()
+        if t in "]}" and (want == "next" or want == "first") and len(stack) > 1 and isinstance(stack[-1][0], list if t == "]" else dict):
+            stack.pop()
+            want = "next"
+        elif t == "," and want == "next" and len(stack) > 1:
+            want = "value" if isinstance(stack[-1][0], list) else "key"
+        elif want in ("value", "first") and isinstance(stack[-1][0], list) or want == "value":
+            if len(stack) == 1 and root:
+                raise ValueError("not JSON")
+            if t in "[{":
+                box: object = [] if t == "[" else {}
+                put(box)
+                stack.append((box, None))
+                want = "first"
+            elif t in "]},:":
+                raise ValueError("not JSON")
+            else:
+                v, at = scalar(text, start)
+                put(v)
+                want = "next"
+        elif want in ("key", "first") and t == '"':
+            key, at = scalar(text, start)
+            colon = TOKEN.match(text, at)
+            if not colon or colon.group(1) != ":":
+                raise ValueError("not JSON")
+            at = colon.end()
+            stack[-1] = (stack[-1][0], key)
+            want = "value"
+        else:
+            raise ValueError("not JSON")
 
 
 def parse_annotation(text: str | None) -> dict | None:
-    """The annotation in a delivered text, without its wrappers; None if there is none."""
+    """The annotation in a delivered text, without its wrappers, however many; None if there is none."""
     value: object = text
-    for _ in range(6):
+    while True:
         if isinstance(value, str):
-            s = value.strip().lstrip("﻿")
+            s = value.strip().lstrip("\ufeff")
             if m := FENCE.search(s):
                 s = m.group(1)
             try:
-                value = json.loads(s)
-            except (ValueError, RecursionError):
+                value = load(s)
+            except ValueError:
                 a, b = s.find("{"), s.rfind("}")
                 if a < 0 or b <= a or (a == 0 and b == len(s) - 1):
                     return None
                 try:
-                    value = json.loads(s[a : b + 1])
-                except (ValueError, RecursionError):
+                    value = load(s[a : b + 1])
+                except ValueError:
                     return None
         elif isinstance(value, dict):
             if TOP_KEYS & value.keys():
@@ -72,7 +134,11 @@ def parse_annotation(text: str | None) -> dict | None:
             value = value[0]
         else:
             return None
-    return None
+
+
+def status_of(text: str | None) -> str:
+    """null, blank, read, or unreadable: broken off, or no annotation at all."""
+    return "null" if text is None else "blank" if not text.strip() else "unreadable" if parse_annotation(text) is None else "read"
 
 
 def full_keys(obj: dict, kind: str) -> dict:
@@ -126,7 +192,33 @@ def digest(*parts: str) -> str:
 
 
 def canonical(value: object) -> str:
-    return json.dumps(value, ensure_ascii=False, sort_keys=True, separators=(",", ":"))
+    try:
+        return json.dumps(value, ensure_ascii=False, sort_keys=True, separators=(",", ":"))
+    except RecursionError:
+        return canonical_deep(value)
+
+
+def canonical_deep(value: object) -> str:
+    """As canonical, at any depth: what is still to be written is on a stack."""
+    out: list[str] = []
+    todo: list[tuple[bool, object]] = [(False, value)]
+    while todo:
+        ready, v = todo.pop()
+        if ready:
+            out.append(v)
+        elif isinstance(v, dict) and v:
+            parts: list[tuple[bool, object]] = []
+            for k in sorted(v):
+                parts += [(True, ("," if parts else "{") + json.dumps(k, ensure_ascii=False) + ":"), (False, v[k])]
+            todo += reversed([*parts, (True, "}")])
+        elif isinstance(v, list) and v:
+            parts = []
+            for x in v:
+                parts += [(True, "," if parts else "["), (False, x)]
+            todo += reversed([*parts, (True, "]")])
+        else:
+            out.append(json.dumps(v, ensure_ascii=False))
+    return "".join(out)
 
 
 def flatten(obj: dict, kind: str, path: str, parent: str, ordinal: int, out: list) -> str:
@@ -161,30 +253,82 @@ def flatten(obj: dict, kind: str, path: str, parent: str, ordinal: int, out: lis
     return h
 
 
+def tree_stage(df: DataFrame, id_col: str, json_col: str, once: bool) -> DataFrame:
+    def read(feed):
+        known: set[str] = set()
+        for batch in feed:
+            for rid, text in zip(batch["_id"], batch["_json"]):
+                tree = parse_annotation(text)
+                if tree is None:
+                    continue
+                out: list = []
+                flatten(tree, "annotation", "$", "", 0, out)
+                for parent, path, kind, ordinal, children, h, fields in out:
+                    if not once:
+                        yield rid, parent, path, kind, ordinal, children, h, fields
+                        continue
+                    yield rid, parent, path, kind, ordinal, children, h, None if h in known else fields
+                    if len(known) > 1_000_000:
+                        known.clear()
+                    known.add(h)
+
+    key = df.schema[id_col].dataType.simpleString()
+    schema = f"`{id_col}` {key}, parent_path string, object_path string, kind string, ordinal int, n_children int, object_hash string, fields string"
+    return partition_stage(spread(df.select(F.col(id_col).alias("_id"), F.col(json_col).alias("_json"))), schema, read)
+
+
 def occurrences(df: DataFrame, id_col: str, json_col: str) -> DataFrame:
-    """Bridge rows: (<id>, parent_path, object_path, kind, ordinal, n_children, object_hash, fields)."""
+    """(<id>, parent_path, object_path, kind, ordinal, n_children, object_hash, fields), one row per occurrence with the
+    own fields of its object beside it: for rules, which read every occurrence and then need no join."""
+    return tree_stage(df, id_col, json_col, False)
 
-    def read(batch):
-        for rid, text in zip(batch["_id"], batch["_json"]):
-            tree = parse_annotation(text)
-            if tree is None:
-                continue
-            out: list = []
-            try:
-                flatten(tree, "annotation", "$", "", 0, out)
-            except RecursionError:
-                continue
-            for row in out:
-                yield rid, *row
 
-    kind = df.schema[id_col].dataType.simpleString()
-    schema = f"`{id_col}` {kind}, parent_path string, object_path string, kind string, ordinal int, n_children int, object_hash string, fields string"
-    return arrow_stage(spread(df.select(F.col(id_col).alias("_id"), F.col(json_col).alias("_json"))), schema, read)
+def bridge(df: DataFrame, id_col: str, json_col: str) -> DataFrame:
+    """Bridge rows: (<id>, parent_path, object_path, kind, ordinal, n_children, object_hash), one per occurrence."""
+    return tree_stage(df, id_col, json_col, True).drop("fields")
 
 
-def distinct_objects(bridge: DataFrame) -> DataFrame:
-    """(object_hash, kind, fields, n_occurrences): identical objects once; occurrences are counted before the shuffle."""
-    return bridge.groupBy("object_hash", "kind", "fields").agg(F.count("*").alias("n_occurrences"))
+def distinct_objects(df: DataFrame, id_col: str, json_col: str) -> DataFrame:
+    """(object_hash, kind, fields, n_occurrences): identical objects once. A partition gives the fields of an object with
+    its first occurrence only, and counts are summed before the shuffle, so what is shuffled grows with the objects."""
+    t = tree_stage(df, id_col, json_col, True)
+    return t.groupBy("object_hash").agg(F.first("kind").alias("kind"), F.first("fields", ignorenulls=True).alias("fields"), F.count("*").alias("n_occurrences"))
+
+
+def statuses(df: DataFrame, id_col: str, json_col: str) -> DataFrame:
+    """(<id>, status): one row for every record, also for those that give no objects."""
+    def read(batch):
+        for rid, text in zip(batch["_id"], batch["_json"]):
+            yield rid, status_of(text)
+
+    key = df.schema[id_col].dataType.simpleString()
+    return arrow_stage(spread(df.select(F.col(id_col).alias("_id"), F.col(json_col).alias("_json"))), f"`{id_col}` {key}, status string", read)
+
+
+def rebuilt(bridge_rows: DataFrame, objects: DataFrame, id_col: str) -> DataFrame:
+    """(<id>, tree): the annotations in full form as JSON, from the bridge and the objects that are stored once. Rows of
+    one annotation are few; elements of lists that are no objects come back as null."""
+    rows = bridge_rows.join(objects.select("object_hash", "fields"), "object_hash").groupBy(id_col).agg(
+        F.collect_list(F.struct("object_path", "parent_path", "fields")).alias("rows"))
+
+    def build(batch):
+        for rid, rows in zip(batch["_id"], batch["rows"]):
+            at = {r["object_path"]: json.loads(r["fields"]) for r in rows}
+            for r in sorted(rows, key=lambda r: len(r["object_path"])):
+                if r["object_path"] == "$":
+                    continue
+                name, _, place = r["object_path"].rpartition(".")[2].partition("[")
+                up = at[r["parent_path"]]
+                if place:
+                    xs = up.setdefault(name, [])
+                    xs += [None] * (int(place[:-1]) + 1 - len(xs))
+                    xs[int(place[:-1])] = at[r["object_path"]]
+                else:
+                    up[name] = at[r["object_path"]]
+            yield rid, canonical(at["$"])
+
+    key = bridge_rows.schema[id_col].dataType.simpleString()
+    return arrow_stage(rows.withColumnRenamed(id_col, "_id"), f"`{id_col}` {key}, tree string", build)
 
 
 STEP = re.compile(r"\[\s*(?:'([^']*)'|\"([^\"]*)\"|(\d+))\s*\]|([^.\[\]/]+)")
@@ -236,9 +380,9 @@ def issue_objects(issues: DataFrame, result_col: str, issue_col: str, path_col:
     return arrow_stage(cols, f"`{result_col}` {rk}, `{issue_col}` {ik}, object_path string", resolve)
 
 
-def objects_with_issues(bridge: DataFrame, about: DataFrame, result_col: str, issue_col: str) -> DataFrame:
+def objects_with_issues(bridge_rows: DataFrame, about: DataFrame, result_col: str, issue_col: str) -> DataFrame:
     """(<result>, parent_path, object_path, <issue>): every object with each issue about it, 0 where it has none."""
-    left = bridge.select(result_col, "parent_path", "object_path")
+    left = bridge_rows.select(result_col, "parent_path", "object_path")
     return left.join(about, [result_col, "object_path"], "left").select(
         result_col, "parent_path", "object_path", F.coalesce(F.col(issue_col), F.lit(0).cast("long")).alias(issue_col)
     )

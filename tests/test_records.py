@@ -18,8 +18,12 @@ PATHS = {"$", "stanzas[0]", "stanzas[0].metaphor_spans[0]", "stanzas[0].metaphor
 COMPACT = {"rs": "lament", "st": [{"i": 1, "ms": [{"src": "a"}]}], "ce": {"tm": "t"}}
 
 
+def texts_of(spark, texts):
+    return spark.createDataFrame(list(enumerate(texts)), "result_id long, j string"), "result_id", "j"
+
+
 def bridge(spark, texts):
-    return nested.occurrences(spark.createDataFrame(list(enumerate(texts)), "result_id long, j string"), "result_id", "j")
+    return nested.occurrences(*texts_of(spark, texts))
 
 
 @pytest.mark.parametrize("wrap", [json.dumps, lambda a: "```json\n" + json.dumps(a) + "\n```", lambda a: json.dumps(json.dumps(a)), lambda a: json.dumps({"schema_version": "1.1", "annotation": a})])
@@ -32,7 +36,7 @@ def test_broken_null_empty_and_compact(spark):
     assert {r.result_id for r in rows} == {5}
     assert {r.object_path for r in rows} == {"$", "stanzas[0]", "stanzas[0].metaphor_spans[0]", "cultural_entities[0]"}
     assert json.loads(next(r.fields for r in rows if r.kind == "cultural_entity")) == {"term": "t"}
-    assert nested.distinct_objects(bridge(spark, [])).count() == 0
+    assert nested.distinct_objects(*texts_of(spark, [])).count() == 0
 
 
 SHAPES = {"plain": json.dumps, "indented": lambda a: json.dumps(a, indent=1), "fence": lambda a: "```json\n" + json.dumps(a) + "\n```", "string": lambda a: json.dumps(json.dumps(a)),
@@ -67,12 +71,50 @@ def test_attempts_differ_by_content_not_shape(spark, tmp_path):
 
 
 def test_identical_subtrees_share_a_hash(spark):
-    b = bridge(spark, [json.dumps(ANN), json.dumps(ANN | {"theme": "x"})])
+    texts = [json.dumps(ANN), json.dumps(ANN | {"theme": "x"})]
+    b = bridge(spark, texts)
     h = {(r.result_id, r.object_path): r.object_hash for r in b.collect()}
     assert h[0, "cultural_entities[0]"] == h[0, "cultural_entities[1]"] == h[1, "cultural_entities[0]"]
     assert h[0, "stanzas[2]"] == h[1, "stanzas[2]"] and h[0, "$"] != h[1, "$"]
-    assert nested.distinct_objects(b).agg(F.sum("n_occurrences")).first()[0] == b.count()
-
+    o = nested.distinct_objects(*texts_of(spark, texts))
+    assert o.agg(F.sum("n_occurrences")).first()[0] == b.count() and o.count() == len({r.object_hash for r in b.collect()})
+    assert "fields" not in nested.bridge(*texts_of(spark, texts)).columns and not o.where("fields IS NULL").count()
+
+
+def test_annotations_are_rebuilt_from_objects_stored_once(spark):
+    """Bridge and objects hold everything but the elements of lists that are no objects, which come back as null."""
+    more = [ANN, ANN | {"theme": "x"}, ANN, {"recitation_style": "lament", "stanzas": [], "odd": {"a": [1, {"b": None}]}}, COMPACT]
+    args = texts_of(spark, [json.dumps(a) for a in more])
+    got = {r.result_id: json.loads(r.tree) for r in nested.rebuilt(nested.bridge(*args), nested.distinct_objects(*args), "result_id").collect()}
+    for i, a in enumerate(more):
+        want = nested.full_object(a, "annotation")
+        assert {k: v for k, v in want.items() if v != []} == got[i], (want, got[i])
+
+
+def test_wrappers_and_depth_without_limit(spark):
+    wrapped = json.dumps(ANN)
+    for k in range(40):
+        wrapped = json.dumps(json.dumps({"annotation": json.loads(wrapped)}) if k % 9 == 0 else {"annotation": json.loads(wrapped)})
+    deep = json.dumps(ANN)[:-1] + ', "deep": ' + '{"x": [' * 40_000 + '"]} \\" é"' + "]}" * 40_000 + "}"
+    b = bridge(spark, [wrapped, deep, deep[:-1]])
+    assert {(r.result_id, r.object_path) for r in b.collect()} == {(i, p) for i in (0, 1) for p in PATHS}
+    s = nested.statuses(*texts_of(spark, [wrapped, deep, deep[:-1], None, " ", "[1, 2]"]))
+    assert [r.status for r in s.orderBy("result_id").collect()] == ["read", "read", "unreadable", "null", "blank", "unreadable"]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.recursive(st.none() | st.booleans() | st.integers(-9, 9) | st.floats(allow_nan=False, allow_infinity=False) | st.text(max_size=4), lambda x: st.lists(x, max_size=3) | st.dictionaries(st.text(max_size=3), x, max_size=3), max_leaves=12), st.integers(0, 60))
+def test_deep_reader_reads_what_json_reads(value, cut):
+    text = json.dumps(value, indent=cut % 3 or None)
+    assert nested.load_deep(text) == value and nested.canonical_deep(value) == nested.canonical(value)
+    part = text[:cut]
+    try:
+        want = json.loads(part)
+    except ValueError:
+        with pytest.raises(ValueError):
+            nested.load_deep(part)
+    else:
+        assert nested.load_deep(part) == want
 
 @pytest.mark.parametrize("path,want", [
     ("$", "$"), ("theme", "$"), ("cultural_entities", "$"), ("/stanzas/0/loss_note", "stanzas[0]"), (" $.stanzas[1].metaphor_spans ", "stanzas[1]"),
