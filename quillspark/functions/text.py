@@ -39,14 +39,6 @@ def stanza_starts(lines: Column) -> Column:
     return F.filter(pos, lambda p, i: (i == 0) | (F.get(pos, i - 1) < p - 1))
 
 
-def count_overlapping(text: Column, span: Column) -> Column:
-    """Occurrences of span in text, advancing by one character; 0 for an empty span. Only texts that contain the span
-    are searched place by place."""
-    last = F.char_length(text) - F.char_length(span) + 1
-    places = F.filter(F.sequence(F.lit(1), last), lambda i: F.substring(text, i, F.char_length(span)) == span)
-    return F.when((span != "") & text.contains(span), F.size(places)).otherwise(F.lit(0))
-
-
 def has_word(text: Column, word: str) -> Column:
     """word in lowered text, not within other ASCII letters."""
     return text.rlike(rf"(^|[^a-z]){word}([^a-z]|$)")

@@ -58,8 +58,7 @@ def blank(name: str) -> Column:
     return is_blank(F.col(name))
 
 
-def completeness(bridge: DataFrame) -> DataFrame:
-    """Missing fields of entities, expressions and stanzas. A mapping is never required."""
+def completeness_rules() -> list[Column]:
     entity = of("cultural_entity", [
         violation(F.col("term").rlike(r"[^\x{0}-\x{7f}]") & F.col("term").rlike(r"[\p{L}&&[^\x{0}-\x{7f}]]") & blank("romanization"), "romanization", "romanization_of_non_ascii_term"),
         violation(F.col("cultural_specificity_level").isNull(), "cultural_specificity_level", "specificity_required"),
@@ -77,7 +76,12 @@ def completeness(bridge: DataFrame) -> DataFrame:
         violation(F.col("source_span_original").isNull(), "source_span_original", "span_required"),
     ])
     stanza = of("stanza", [violation((F.coalesce(F.col("translation_quality"), F.lit("")) != "faithful") & blank("loss_note"), "loss_note", "loss_note_required_when_not_faithful")])
-    return violations(every_object(bridge), [*entity, *expression, *stanza])
+    return [*entity, *expression, *stanza]
+
+
+def completeness(bridge: DataFrame) -> DataFrame:
+    """Missing fields of entities, expressions and stanzas. A mapping is never required."""
+    return violations(every_object(bridge), completeness_rules())
 
 
 def outside(name: str, allowed: tuple[str, ...], fold: bool = False) -> Column:
@@ -99,10 +103,14 @@ def vocabulary_errors(bridge: DataFrame) -> DataFrame:
     return violations(every_object(bridge), rules)
 
 
+def contradiction_rules() -> list[Column]:
+    bad = (F.col("translation_quality") == "faithful") & (F.coalesce(F.col("loss_note"), F.lit("")) != "")
+    return of("stanza", [violation(bad, "loss_note", "faithful_with_loss_note"), violation(bad, "translation_quality", "faithful_with_loss_note")])
+
+
 def contradictions(bridge: DataFrame) -> DataFrame:
     """A faithful stanza with a loss note: both fields, for every stanza."""
-    bad = (F.col("translation_quality") == "faithful") & (F.coalesce(F.col("loss_note"), F.lit("")) != "")
-    return violations(objects(bridge, "stanza"), [violation(bad, "loss_note", "faithful_with_loss_note"), violation(bad, "translation_quality", "faithful_with_loss_note")])
+    return violations(every_object(bridge), contradiction_rules())
 
 
 def index_mismatches(bridge: DataFrame) -> DataFrame:

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import term_present
-from ..session import written
 from . import annotation, ledger
 from .segments import rendering, stanza_texts
 
@@ -16,10 +15,10 @@ SECTIONS = ("overview", "entities", "figurative", "loss")
 def invalid_paths(bridge: DataFrame, grounding: DataFrame) -> DataFrame:
     """(<id>, field_path, rule): every path some rule objects to, once, with the rule of the first family that does:
     contradictions, completeness, grounding errors."""
-    b = written(bridge, "bridge")
-    fam = lambda df, k: df.select("result_id", "field_path", "rule", F.lit(k).alias("family"))
+    fam = lambda df, k: df.select("result_id", "field_path", "rule", k.alias("family"))
     errors = grounding.where("severity = 'error'").select("result_id", F.concat_ws(".", "object_path", "field").alias("field_path"), F.col("code").alias("rule"))
-    every = fam(annotation.contradictions(b), 1).unionByName(fam(annotation.completeness(b), 2)).unionByName(fam(errors, 3))
+    own = annotation.violations(annotation.every_object(bridge), [*annotation.contradiction_rules(), *annotation.completeness_rules()])
+    every = fam(own, F.when(F.col("rule") == "faithful_with_loss_note", 1).otherwise(2)).unionByName(fam(errors, F.lit(3)))
     return every.groupBy("result_id", "field_path").agg(F.min_by("rule", F.struct("family", "rule")).alias("rule"))
 
 

@@ -2,36 +2,54 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import line_ref_status, strip
-from . import spans
-
+from ..arrow import arrow_stage
+from ..functions.text import strip
+from ..session import spread
+from . import nested, spans
 
 KEYS = ["result_id", "object_path"]
-FIELDS = "line_ref STRING, source_span_original STRING, source_span_translation STRING, preserved STRING, translation_status STRING"
-
-
-def objects_with_text(bridge: DataFrame, results: DataFrame, poems: DataFrame) -> DataFrame:
-    """Entities and expressions beside their poem's numbered lines, read from the bridge in one pass."""
-    o = bridge.where("kind IN ('cultural_entity', 'metaphor_span')").select(*KEYS, "kind", F.from_json("fields", FIELDS).alias("o")).select(*KEYS, "kind", "o.*")
-    entity = F.col("kind") == "cultural_entity"
-    o = o.withColumns({"preserved": F.when(entity, F.col("preserved")), "translation_status": F.when(entity, F.col("translation_status"))}).drop("kind")
-    text = results.select("result_id", "poem_id").join(
-        poems.select("poem_id", spans.number_lines(F.col("original_poem")).alias("lines"), spans.number_lines(F.col("translated_poem")).alias("t_lines")), "poem_id"
-    )
-    return o.join(text, "result_id")
-
-
-def grounded(objs: DataFrame) -> DataFrame:
-    """objs with ref_status and the matches of the source span in its place (near_*), of spans lost there in all lines
-    (far_*), and of the translated span (told_*)."""
-    o = spans.barrier(objs, "ref_status", line_ref_status(F.col("line_ref"), F.size("lines")))
-    o = spans.scoped(o, "lines", F.when(F.col("ref_status") == "valid", F.col("line_ref")), "scope")
-    o = spans.ground(o, "source_span_original", "scope", "near", F.coalesce("source_span_original", F.lit("")) != "").drop("scope")
-    o = spans.ground(o, "source_span_original", "lines", "far", (F.col("near_status") == "not_found") & (F.col("ref_status") == "valid"))
-    return spans.ground(o, "source_span_translation", "t_lines", "told", F.coalesce("source_span_translation", F.lit("")) != "").drop("lines", "t_lines")
+FIELDS = ("line_ref", "source_span_original", "source_span_translation", "preserved", "translation_status")
+MATCH = "{0}_status string, {0}_refs array<string>, {0}_n int"
+
+
+def as_text(v: object) -> str | None:
+    return v if v is None or isinstance(v, str) else json.dumps(v, ensure_ascii=False, separators=(",", ":"))
+
+
+def grounded(results: DataFrame, poems: DataFrame) -> DataFrame:
+    """One row per entity and expression of every annotation: its fields, ref_status and the matches of the source span in
+    its place (near_*), of spans lost there in all lines (far_*), and of the translated span (told_*).
+
+    An annotation meets its poem once, as a row; it is parsed, its lines are numbered and all its spans are searched in
+    one Arrow stage. Without a poem there are no rows."""
+    rows = results.select("result_id", "poem_id", "normalized_annotation").join(poems.select("poem_id", "original_poem", "translated_poem"), "poem_id")
+    nothing = (None, None, None)
+
+    def run(batch):
+        for rid, text, original, translated in zip(*(batch[c] for c in ("result_id", "normalized_annotation", "original_poem", "translated_poem"))):
+            tree = nested.parse_annotation(text)
+            if tree is None:
+                continue
+            lines, told_lines = spans.lines_of(original), spans.lines_of(translated)
+            for path, kind, obj in nested.objects_of(tree):
+                if kind not in ("cultural_entity", "metaphor_span"):
+                    continue
+                ref, span, told, preserved, status = (as_text(obj.get(f)) for f in FIELDS)
+                if kind != "cultural_entity":
+                    preserved = status = None
+                state = spans.ref_status(ref, len(lines))
+                near = spans.ground(span, spans.scope(lines, spans.line_range(ref)) if state == "valid" else lines) if span else nothing
+                far = spans.ground(span, lines) if near[0] == "not_found" and state == "valid" else nothing
+                yield rid, path, ref, span, told, preserved, status, state, *near, *far, *(spans.ground(told, told_lines) if told else nothing)
+
+    key = results.schema["result_id"].dataType.simpleString()
+    schema = f"result_id {key}, object_path string, " + ", ".join(f"{f} string" for f in FIELDS) + ", ref_status string, " + ", ".join(MATCH.format(m) for m in ("near", "far", "told"))
+    return arrow_stage(spread(rows), schema, run)
 
 
 def issues(found: DataFrame, strict: bool = False) -> DataFrame:

@@ -253,6 +253,24 @@ def flatten(obj: dict, kind: str, path: str, parent: str, ordinal: int, out: lis
     return h
 
 
+def objects_of(tree: dict) -> list[tuple[str, str, dict]]:
+    """(path, kind, object with full keys) of an annotation and all objects below it."""
+    out, todo = [], [("$", "annotation", tree)]
+    while todo:
+        path, kind, obj = todo.pop()
+        obj = full_keys(obj, kind)
+        out.append((path, kind, obj))
+        prefix = "" if path == "$" else path + "."
+        for name, below in CHILD_LISTS.get(kind, {}).items():
+            value = obj.get(name)
+            many = [value] if isinstance(value, dict) else value if isinstance(value, list) else []
+            todo += [(f"{prefix}{name}[{i}]", below, x) for i, x in enumerate(many) if isinstance(x, dict)]
+        for name, below in CHILD_OBJECTS.get(kind, {}).items():
+            if isinstance(obj.get(name), dict):
+                todo.append((f"{prefix}{name}", below, obj[name]))
+    return out
+
+
 def tree_stage(df: DataFrame, id_col: str, json_col: str, once: bool) -> DataFrame:
     def read(feed):
         known: set[str] = set()

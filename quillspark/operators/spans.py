@@ -1,113 +1,121 @@
 """Exact grounding of quoted spans in numbered lines.
 
 A span is searched exactly: within single lines, in windows of stripped lines, then in the raw lines joined. Only what
-none of these finds is searched again in canonical composition (an Arrow function of that rest). Nothing is fuzzy. Lines
-stay an array beside the span, so no join and no shuffle is needed.
+none of these finds is searched again in canonical composition. Nothing is fuzzy. Each search is a plain substring
+search on the texts of one row, so a row goes through one Arrow stage and nothing is joined or shuffled for it.
+
+Defined results: a null or empty span and a malformed line reference are invalid input; a null reference means all lines;
+a reference beyond the last line has no lines; occurrences may overlap and are each counted.
 """
 
 from __future__ import annotations
 
+import re
 import unicodedata
+from bisect import bisect_right
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
-from ..functions.text import count_overlapping, numbered_lines, parse_line_ref, strip
+from ..arrow import arrow_stage
+from ..functions.text import numbered_lines
+
+REF = re.compile(r"L([1-9][0-9]{0,8})(?:-L([1-9][0-9]{0,8}))?\Z")
+Lines = list[tuple[int, str]]  # numbers and raw texts
+
+
+def lines_of(text: str | None) -> Lines:
+    """Lines that are not blank, numbered from 1."""
+    kept = (l for l in (text or "").replace("\r\n", "\n").replace("\r", "\n").split("\n") if l.strip())
+    return list(enumerate(kept, 1))
 
-HIT = "struct<n int, refs array<string>>"
 
+def line_range(ref: str | None) -> tuple[int, int] | None:
+    m = REF.match(ref.strip()) if ref is not None else None
+    if not m:
+        return None
+    a = int(m.group(1))
+    b = int(m.group(2) or a)
+    return (a, b) if a <= b else None
 
-def ref(a: Column, b: Column) -> Column:
-    one = F.concat(F.lit("L"), a.cast("string"))
-    return F.when(a == b, one).otherwise(F.concat(one, F.lit("-L"), b.cast("string")))
 
+def ref_status(ref: str | None, n_lines: int) -> str:
+    r = line_range(ref)
+    return "absent" if ref is None else "malformed" if r is None else "out_of_range" if r[1] > n_lines else "valid"
 
-def in_lines(span: Column, lines: Column) -> Column:
-    """Occurrences within single lines: their number and the lines that hold any."""
-    counted = F.transform(lines, lambda l: F.struct(l["line_number"].alias("k"), count_overlapping(l["text"], span).alias("n")))
-    hits = F.filter(counted, lambda x: x["n"] > 0)
-    return F.struct(F.aggregate(hits, F.lit(0), lambda acc, x: acc + x["n"]).alias("n"), F.transform(hits, lambda x: ref(x["k"], x["k"])).alias("refs"))
 
+def scope(lines: Lines, r: tuple[int, int]) -> Lines:
+    return lines[r[0] - 1 : r[1]]
 
-def in_windows(span: Column, lines: Column) -> Column:
-    """Occurrences in windows of as many stripped lines as the span has."""
-    k = F.size(F.split(span, "\n"))
-    text = lambda i: F.array_join(F.transform(F.slice(lines, i, k), lambda l: strip(l["text"])), "\n")
-    starts = F.when(F.size(lines) >= k, F.sequence(F.lit(1), F.size(lines) - k + 1)).otherwise(F.array().cast("array<int>"))
-    counted = F.transform(starts, lambda i: F.struct(F.get(lines, i - 1)["line_number"].alias("a"), F.get(lines, i + k - 2)["line_number"].alias("b"), count_overlapping(text(i), span).alias("n")))
-    hits = F.filter(counted, lambda x: x["n"] > 0)
-    return F.struct(F.aggregate(hits, F.lit(0), lambda acc, x: acc + x["n"]).alias("n"), F.transform(hits, lambda x: ref(x["a"], x["b"])).alias("refs"))
 
+def places(text: str, span: str) -> list[int]:
+    """Starts of all occurrences of a span, overlapping ones too."""
+    out, at = [], text.find(span)
+    while at >= 0:
+        out.append(at)
+        at = text.find(span, at + 1)
+    return out
 
-def in_raw(span: Column, lines: Column) -> Column:
-    """Occurrences in the raw lines joined by line feeds; one whose end lies on a joint has no lines and is dropped."""
-    joined = F.array_join(F.transform(lines, lambda l: l["text"]), "\n")
-    ends = F.transform(lines, lambda l, i: F.aggregate(F.slice(lines, 1, i + 1), F.lit(0), lambda acc, x: acc + F.char_length(x["text"]) + 1))
-    size = F.char_length(span)
-    places = F.when(joined.contains(span) & (span != ""), F.filter(F.sequence(F.lit(1), F.char_length(joined) - size + 1), lambda p: F.substring(joined, p, size) == span))
-    places = F.coalesce(places, F.array().cast("array<int>"))
-    line_of = lambda p: F.get(lines, F.size(F.filter(ends, lambda e: e < p)))["line_number"]
-    good = F.filter(places, lambda p: ~F.array_contains(ends, p) & ~F.array_contains(ends, p + size - 1))
-    return F.struct(F.size(good).alias("n"), F.transform(good, lambda p: ref(line_of(p), line_of(p + size - 1))).alias("refs"))
 
+def ref(a: int, b: int) -> str:
+    return f"L{a}" if a == b else f"L{a}-L{b}"
 
-def barrier(df: DataFrame, name: str, value: Column) -> DataFrame:
-    """df with a computed column that Catalyst does not copy into each of its uses, as it would inline a projection."""
-    return df.select("*", F.explode(F.array(value)).alias(name))
 
+def in_lines(span: str, lines: Lines) -> tuple[int, list[str]]:
+    hits = [(k, n) for k, l in lines if (n := len(places(l, span)))]
+    return sum(n for _, n in hits), [ref(k, k) for k, _ in hits]
 
-def search(df: DataFrame, span: str, lines: str, out: str) -> DataFrame:
-    """df with the first of the three searches that finds anything; null for a null span."""
-    s, ls = F.col(span), F.col(lines)
-    several = s.contains("\n")
-    first = barrier(df, "_first", F.when(s.isNull(), None).when(several, in_windows(s, ls)).otherwise(in_lines(s, ls)))
-    rest = several & (F.col("_first.n") == 0)
-    return barrier(first, out, F.when(rest, in_raw(s, ls)).otherwise(F.col("_first"))).drop("_first")
 
+def in_windows(span: str, lines: Lines) -> tuple[int, list[str]]:
+    """In windows of as many stripped lines as the span has."""
+    k = span.count("\n") + 1
+    bare = [l.strip() for _, l in lines]
+    hits = [(i, n) for i in range(len(lines) - k + 1) if (n := len(places("\n".join(bare[i : i + k]), span)))]
+    return sum(n for _, n in hits), [ref(lines[i][0], lines[i + k - 1][0]) for i, _ in hits]
 
-def scoped(df: DataFrame, lines: str, line_ref: Column, out: str) -> DataFrame:
-    """df with the lines a reference names; all lines for a null one, none for a malformed one. The reference is parsed
-    once a row, outside the search through the lines."""
-    p = barrier(df, "_ref", F.struct(line_ref.isNull().alias("all"), parse_line_ref(line_ref).alias("p")))
-    a, b = F.col("_ref.p.start"), F.col("_ref.p.end")
-    return p.withColumn(out, F.when(F.col("_ref.all"), F.col(lines)).otherwise(F.filter(lines, lambda l: (l["line_number"] >= a) & (l["line_number"] <= b)))).drop("_ref")
 
+def in_raw(span: str, lines: Lines) -> tuple[int, list[str]]:
+    """In the raw lines joined by line feeds; an occurrence that starts or ends on a joint has no lines and is dropped."""
+    joints, at = [], 0
+    for _, l in lines:
+        at += len(l) + 1
+        joints.append(at - 1)
+    on = set(joints)
+    good = [p for p in places("\n".join(l for _, l in lines), span) if p not in on and p + len(span) - 1 not in on]
+    line = lambda p: lines[bisect_right(joints, p)][0]
+    return len(good), [ref(line(p), line(p + len(span) - 1)) for p in good]
 
-@F.pandas_udf(StringType())
-def nfc(texts: pd.Series) -> pd.Series:
-    """Canonical composition; null for null."""
-    return texts.map(lambda t: None if t is None else unicodedata.normalize("NFC", t))
 
+def search(span: str, lines: Lines) -> tuple[int, list[str]]:
+    """The first of the three searches that finds anything."""
+    if "\n" not in span:
+        return in_lines(span, lines)
+    n, refs = in_windows(span, lines)
+    return (n, refs) if n else in_raw(span, lines)
 
-JOINT = "\x1e"
 
+def ground(span: str | None, lines: Lines) -> tuple[str, list[str] | None, int | None]:
+    """(status, line references, occurrences); status: exact, ambiguous, nfc_equivalent, not_found or invalid_input."""
+    if not span:
+        return "invalid_input", None, None
+    n, refs = search(span, lines)
+    if not n and not span.isascii():
+        n, refs = search(unicodedata.normalize("NFC", span), [(k, unicodedata.normalize("NFC", l)) for k, l in lines])
+        if n == 1:
+            return "nfc_equivalent", refs, n
+    return "not_found" if not n else "exact" if n == 1 else "ambiguous", refs, n
 
-def composed(df: DataFrame, span: str, lines: str, wanted: str) -> DataFrame:
-    """df with _nspan and _nlines, span and lines in canonical composition, where wanted holds; null elsewhere. Only the
-    texts of wanted rows go to Python, as two strings."""
-    text = F.array_join(F.transform(lines, lambda l: l["text"]), JOINT)
-    both = df.withColumns({"_nspan": nfc(F.when(F.col(wanted), F.col(span))), "_ntext": nfc(F.when(F.col(wanted), text))})
-    again = F.zip_with(lines, F.split("_ntext", JOINT), lambda l, t: F.struct(l["line_number"].alias("line_number"), t.alias("text")))
-    return both.withColumn("_nlines", F.when(F.col(wanted) & (F.size(lines) > 0), again).when(F.col(wanted), F.col(lines))).drop("_ntext")
 
+def ground_column(df: DataFrame, keep: list[str], span: str, text: str, line_ref: str, out: str) -> DataFrame:
+    """The kept columns with <out>_status, <out>_refs and <out>_n of each row's span in the lines its reference names."""
+    def run(batch):
+        for i, (s, t, r) in enumerate(zip(batch["_span"], batch["_text"], batch["_ref"])):
+            lines, place = lines_of(t), line_range(r)
+            bad = r is not None and place is None
+            yield (*(batch[k][i] for k in keep), *(("invalid_input", None, None) if bad else ground(s, scope(lines, place) if place else lines)))
 
-def ground(df: DataFrame, span: str, lines: str, out: str, only: Column | None = None) -> DataFrame:
-    """df with <out>_status (exact, ambiguous, nfc_equivalent, not_found, invalid_input), <out>_refs and <out>_n of the
-    span in the lines (array of line_number and text). Rows outside `only` are not searched and get nulls. The row passes
-    straight through: three searches, and one Arrow function for what they did not find."""
-    ask = F.lit(True) if only is None else F.coalesce(only, F.lit(False))
-    there = F.coalesce(F.col(span), F.lit("")) != ""
-    base = df.withColumn("_ask", ask).withColumn("_span", F.when(ask & there, F.col(span)))
-    first = search(base, "_span", lines, "_hit")
-    rest = (F.col("_hit.n") == 0) & F.col("_span").rlike(r"[^\x00-\x7f]")
-    again = search(composed(first.withColumn("_rest", F.coalesce(rest, F.lit(False))), "_span", lines, "_rest"), "_nspan", "_nlines", "_again")
-    use = F.when(F.col("_rest"), F.col("_again")).otherwise(F.col("_hit"))
-    again = again.withColumn("_use", use)
-    n = F.col("_use.n")
-    status = F.when(~F.col("_ask"), None).when(F.col("_span").isNull(), "invalid_input").when(n == 0, "not_found").when(n > 1, "ambiguous").when(F.col("_rest"), "nfc_equivalent").otherwise("exact")
-    return again.withColumns({f"{out}_status": status, f"{out}_refs": F.col("_use.refs"), f"{out}_n": n}).drop("_ask", "_span", "_hit", "_rest", "_nspan", "_nlines", "_again", "_use")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keep).schema) + f", {out}_status string, {out}_refs array<string>, {out}_n int"
+    return arrow_stage(df.select(*keep, F.col(span).alias("_span"), F.col(text).alias("_text"), F.col(line_ref).alias("_ref")), schema, run)
 
 
 def number_lines(c: Column) -> Column:

@@ -24,7 +24,7 @@ def bridge(spark, d):
 def derived_invalid_paths(spark, d):
     r, p = table(spark, d, "validation_results"), table(spark, d, "source_records")
     b = bridge(spark, d)
-    return assembly.invalid_paths(b, grounding.issues(grounding.grounded(grounding.objects_with_text(b, r, p))))
+    return assembly.invalid_paths(b, grounding.issues(grounding.grounded(r, p)))
 
 
 def field_presence(spark, d):

@@ -4,19 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import grounding, nested
+from ..operators import grounding
 from ..session import table
 from .annotation_sql import ANNOTATIONS, text
 from .segments import SRC, TGT, stripped
 
 
-def objs(spark, d):
-    r = table(spark, d, "validation_results")
-    return grounding.objects_with_text(nested.occurrences(r, "result_id", "normalized_annotation"), r, table(spark, d, "source_records"))
+def found(spark, d):
+    return grounding.grounded(table(spark, d, "validation_results"), table(spark, d, "source_records"))
 
 
 def span_matches(spark, d):
-    m = grounding.grounded(objs(spark, d)).where("near_status IS NOT NULL")
+    m = found(spark, d).where("near_status IS NOT NULL")
     return m.select(
         "result_id", "object_path", "line_ref", "ref_status", F.col("near_status").alias("status"), F.col("near_n").alias("occurrence_count"), F.array_join("near_refs", ",").alias("line_refs"),
         F.col("far_status").alias("whole_status"), F.array_join("far_refs", ",").alias("whole_refs"),
@@ -24,11 +23,11 @@ def span_matches(spark, d):
 
 
 def grounding_issues(spark, d):
-    return grounding.issues(grounding.grounded(objs(spark, d)))
+    return grounding.issues(found(spark, d))
 
 
 def strict_grounding_issues(spark, d):
-    return grounding.issues(grounding.grounded(objs(spark, d)), strict=True)
+    return grounding.issues(found(spark, d), strict=True)
 
 
 def grounding_severity(spark, d):

@@ -22,13 +22,16 @@ CASES = [
     ("aaa\n", "aa", None, "ambiguous", ["L1"]),
     ("aaa\n", "", None, "invalid_input", []),
     ("aaa\n", None, None, "invalid_input", []),
+    ("aaa\n", "a", "L2-L1", "invalid_input", []),
+    ("aaa\n", "a", "L7", "not_found", []),
+    ("ab\r\n \rba", "b\nb", None, "exact", ["L1-L2"]),
+    (" a\nb \n", "\nb", None, "exact", ["L1-L2"]),
 ]
 
 
 def test_truth_table(spark):
     df = spark.createDataFrame([(i, *c[:3]) for i, c in enumerate(CASES)], "id int, text string, span string, ref string")
-    df = spans.scoped(df.withColumn("every", spans.number_lines(F.col("text"))), "every", F.col("ref"), "lines")
-    got = {r.id: (r.m_status, r.m_refs or []) for r in spans.ground(df, "span", "lines", "m").collect()}
+    got = {r.id: (r.m_status, r.m_refs or []) for r in spans.ground_column(df, ["id"], "span", "text", "ref", "m").collect()}
     assert got == {i: (c[3], c[4]) for i, c in enumerate(CASES)}
 
 
@@ -38,15 +41,24 @@ def test_line_refs(spark, ref, want):
     assert (tuple(r) if r else None) == want
 
 
-def test_overlaps_equal_a_naive_count(spark):
-    @settings(max_examples=20, deadline=None)
-    @given(st.lists(st.tuples(st.text("ab", max_size=8), st.text("ab", max_size=3)), min_size=1, max_size=8))
-    def check(pairs):
-        df = spark.createDataFrame(pairs, "t string, s string")
-        got = [r[0] for r in df.select(tx.count_overlapping(F.col("t"), F.col("s"))).collect()]
-        assert got == [sum(t[i : i + len(s)] == s for i in range(len(t) - len(s) + 1)) if s else 0 for t, s in pairs]
+@settings(max_examples=200, deadline=None)
+@given(st.text("ab", max_size=12), st.text("ab", min_size=1, max_size=3))
+def test_overlaps_equal_a_naive_count(t, s):
+    assert spans.places(t, s) == [i for i in range(len(t) - len(s) + 1) if t[i : i + len(s)] == s]
 
-    check()
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text("ab ", max_size=4), min_size=1, max_size=4), st.text("ab \n", min_size=1, max_size=5))
+def test_raw_search_equals_a_walk_through_the_characters(texts, span):
+    lines = [(k, l) for k, l in enumerate(texts, 1)]
+    owner = [(k, c) for k, l in lines for c in [*l, "\n"]][:-1]
+    joined = "".join(c for _, c in owner)
+    want = []
+    for i in range(len(joined) - len(span) + 1):
+        part = owner[i : i + len(span)]
+        if joined[i : i + len(span)] == span and part[0][1] != "\n" and part[-1][1] != "\n":
+            want.append(spans.ref(part[0][0], part[-1][0]))
+    assert spans.in_raw(span, lines) == (len(want), want)
 
 
 def test_crlf_and_partitioning_change_nothing(spark, data):
