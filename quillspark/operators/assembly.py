@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import term_present
-from . import annotation, ledger
+from . import annotation, corpus, ledger
 from .segments import rendering, stanza_texts
 
 SECTIONS = ("overview", "entities", "figurative", "loss")
@@ -105,14 +105,11 @@ def chat_fault(model: Column, messages: Column, temperature: Column, top_p: Colu
 
 
 def running_share(df: DataFrame, key: str, value: str) -> DataFrame:
-    """(<key>, value, rank, running share) of totals per key, largest first: totals are aggregated first, so the window
-    runs over one row a key, cut into ranges of the total."""
+    """(<key>, total, rank, running share) of totals per key, largest first, then by key. A total that many keys share is
+    split into blocks of keys."""
     t = df.groupBy(key).agg(F.sum(F.coalesce(value, F.lit(0))).alias("total"))
-    t = t.withColumn("block", F.floor(F.log2(F.greatest(F.col("total"), F.lit(1)).cast("double"))))
-    blocks = t.groupBy("block").agg(F.sum("total").alias("s"), F.count("*").alias("n"))
-    w = Window.orderBy(F.desc("block")).rowsBetween(Window.unboundedPreceding, -1)  # at most 64 rows
-    everything = Window.partitionBy()
-    b = blocks.select("block", F.coalesce(F.sum("s").over(w), F.lit(0)).alias("s0"), F.coalesce(F.sum("n").over(w), F.lit(0)).alias("n0"), F.sum("s").over(everything).alias("all"))
-    inside = Window.partitionBy("block").orderBy(F.desc("total"), key)
-    x = t.join(b, "block")
-    return x.select(key, "total", (F.col("n0") + F.row_number().over(inside)).alias("rank"), F.round((F.col("s0") + F.sum("total").over(inside.rowsBetween(Window.unboundedPreceding, 0))) / F.col("all"), 6).alias("running_share"))
+    text = F.col(key).cast("string")
+    t = t.withColumns({"_a": -F.floor(F.log2(F.greatest(F.col("total"), F.lit(1)).cast("double"))), "_minus": -F.col("total"), "_s": F.substring(text, 1, corpus.SUPER), "_b": F.substring(text, 1, corpus.BLOCK)})
+    x = corpus.running(t, ["_a"], ["_minus", "_s", "_b"], [key], {"run": "total"}, "rank")
+    every = t.agg(F.sum("total").alias("all"))  # one row
+    return x.crossJoin(every).select(key, "total", "rank", F.round(F.col("run") / F.col("all"), 6).alias("running_share"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .. import vocab
 from ..functions.text import WS
 from ..operators import annotation, assembly, grounding, ledger, nested, planning
 from ..session import table
@@ -60,7 +61,7 @@ def prompt_plan(spark, d):
 def field_breakdown(spark, d):
     p = table(spark, d, "invalid_path_issues").where("trim(field_path) <> ''").select("result_id", planning.plain_path(F.col("field_path")).alias("path"))
     size = p.groupBy("result_id").agg(F.count_distinct("path").alias("n"))
-    k = F.when(F.col("n") <= 1, "small").when(F.col("n") <= 3, "medium").otherwise("large")
+    k = F.when(F.col("n") <= vocab.SMALL_PLAN, "small").when(F.col("n") <= vocab.MEDIUM_PLAN, "medium").otherwise("large")
     return p.join(size, "result_id").groupBy(planning.leaf(F.col("path")).alias("leaf"), k.alias("size_class")).agg(F.count("*").alias("n_paths"), F.count_distinct("result_id").alias("n_results"))
 
 
@@ -137,7 +138,7 @@ SQL = {
             FROM source_records p LEFT JOIN a USING (poem_id) LEFT JOIN b USING (poem_id))
         SELECT poem_id, sha256(t) AS prompt_sha256, length(t) // 4 + CASE length(t) % 4 WHEN 3 THEN 1 WHEN 2 THEN (length(t) // 4) % 2 ELSE 0 END AS n_tokens, least(2048, 1536 + 300 * greatest(s - 1, 0)) AS answer_tokens FROM p""",
     "field_breakdown": f"""WITH {PATHS}, s AS (SELECT result_id, count(DISTINCT path) AS n FROM ip GROUP BY ALL)
-        SELECT {LEAF} AS leaf, CASE WHEN n <= 1 THEN 'small' WHEN n <= 3 THEN 'medium' ELSE 'large' END AS size_class, count(*) AS n_paths, count(DISTINCT result_id) AS n_results FROM ip JOIN s USING (result_id) GROUP BY ALL""",
+        SELECT {LEAF} AS leaf, CASE WHEN n <= 20 THEN 'small' WHEN n <= 79 THEN 'medium' ELSE 'large' END AS size_class, count(*) AS n_paths, count(DISTINCT result_id) AS n_results FROM ip JOIN s USING (result_id) GROUP BY ALL""",
     "relevant_stanzas": rf"""WITH {PATHS}, s AS (SELECT result_id, list_sort(list(DISTINCT try_cast(regexp_extract(path, '^stanzas\[([0-9]+)\]', 1) AS int)) FILTER (WHERE regexp_matches(path, '^stanzas\[[0-9]+\]'))) AS s FROM ip GROUP BY result_id)
         SELECT result_id, CASE WHEN len(s) > 0 THEN array_to_string(s, ',') ELSE '0' END AS stanzas FROM s""",
     "safe_messages": """SELECT classification, CASE WHEN regexp_matches(lower(message), 'begin private key|service_account|refresh_token|authorization:|bearer ') THEN '[redacted]' ELSE substring(message, 1, 500) END AS message, count(*) AS n, min(failed_at) AS first_at FROM failures GROUP BY ALL""",

@@ -29,7 +29,7 @@ def route_counts(spark, d):
 
 def canonical_ids(spark, d):
     r = corpus.route(poems(spark, d), "language", manifest(spark, d).select("language"), ["poem_title", "original_poem", "translated_poem"]).where("route = 'canonical'")
-    n = corpus.exact_numbers(r.withColumn("block", F.expr("substring(poem_id, 1, length(poem_id) - 3)")), ["block"], ["poem_id"], "n")
+    n = corpus.exact_numbers(r.select("poem_id"), [], "poem_id", "n")
     return n.select("poem_id", F.format_string("C_%07d", F.col("n").cast("long")).alias("canonical_id"))
 
 
@@ -148,13 +148,18 @@ def grounding_issue_counts(spark, d):
     return g.groupBy("code").agg(F.count("*").alias("n"), F.count("corrected_line_ref").alias("n_correctable"))
 
 
+def once(spark, d, *cols):
+    """Calls without redeliveries. Only what the order and the caller need is read and shuffled, not the answers' text."""
+    need = list(dict.fromkeys(["response_id", *CALL_ORDER, *cols]))
+    return ledger.once(calls(spark, d).select(*need), "response_id", CALL_ORDER).select(*cols)
+
+
 def unique_calls(spark, d):
-    c = ledger.once(calls(spark, d), "response_id", CALL_ORDER)
-    return c.select("poem_id", "section_name", "response_id", "finish_reason", "requested_at", "received_at", "total_token_count")
+    return once(spark, d, "poem_id", "section_name", "response_id", "finish_reason", "requested_at", "received_at", "total_token_count")
 
 
 def completion_classes(spark, d):
-    c = ledger.once(calls(spark, d), "response_id", CALL_ORDER)
+    c = once(spark, d, "section_name", "response_id", "finish_reason", "candidates_token_count", "total_token_count")
     k = ledger.completion_class(F.col("finish_reason"), F.col("response_id").isNotNull())
     return c.groupBy("section_name", k.alias("completion")).agg(F.count("*").alias("n"), F.sum("candidates_token_count").alias("output_tokens"), F.count_if(F.col("total_token_count").isNull()).alias("n_uncounted"))
 
@@ -164,7 +169,7 @@ def response_parse_classes(spark, d):
 
 
 def token_utilisation(spark, d):
-    c = ledger.once(calls(spark, d), "response_id", CALL_ORDER)
+    c = once(spark, d, "section_name", "prompt_token_count", "candidates_token_count", "total_token_count", "cached_content_token_count")
     return c.groupBy("section_name").agg(
         F.round(F.avg(F.col("candidates_token_count") / 8192), 6).alias("mean_use"), F.max("candidates_token_count").alias("most"),
         F.round(F.sum(F.coalesce("cached_content_token_count", F.lit(0))) / F.sum("prompt_token_count"), 6).alias("cached_share"),
@@ -179,7 +184,7 @@ def call_latency(spark, d):
 
 def calls_per_poem(spark, d):
     """Poems by load: one poem holds about a tenth of the rows, so counts are pre-aggregated before the shuffle."""
-    c = ledger.once(calls(spark, d), "response_id", CALL_ORDER)
+    c = once(spark, d, "poem_id", "section_name", "total_token_count", "requested_at", "received_at")
     return c.groupBy("poem_id").agg(F.count("*").alias("n_calls"), F.count_distinct("section_name").alias("n_sections"), F.sum("total_token_count").alias("tokens"), F.min("requested_at").alias("first_call"), F.max("received_at").alias("last_answer"))
 
 
@@ -188,11 +193,14 @@ def hourly_calls(spark, d):
 
 
 def call_checkpoint_asof(spark, d):
-    """Each checkpoint with its poem's last answer at or before it (as-of join by max over the matches)."""
-    c = ledger.once(calls(spark, d), "response_id", CALL_ORDER).where("received_at IS NOT NULL").select("poem_id", "received_at")
+    """Each checkpoint with its poem's last answer at or before it (as-of join by max over the matches). The calls are the
+    left side of an inner join, where a hot poem can be split, and are summed up to one row a checkpoint before checkpoints
+    without calls come back in."""
+    c = once(spark, d, "poem_id", "received_at").where("received_at IS NOT NULL")
     k = latest_checkpoints(spark, d).select("poem_id", "completed_at")
-    j = k.join(c, "poem_id", "left")
-    return j.groupBy("poem_id", "completed_at").agg(F.max(F.when(F.col("received_at") <= F.col("completed_at"), F.col("received_at"))).alias("last_answer"), F.count_if(F.col("received_at") > F.col("completed_at")).alias("n_later"))
+    j = c.join(k, "poem_id").groupBy("poem_id").agg(
+        F.max(F.when(F.col("received_at") <= F.col("completed_at"), F.col("received_at"))).alias("last_answer"), F.count_if(F.col("received_at") > F.col("completed_at")).alias("n_later"))
+    return k.join(j, "poem_id", "left").select("poem_id", "completed_at", "last_answer", F.coalesce("n_later", F.lit(0)).alias("n_later"))
 
 
 QUERIES = {f.__name__: f for f in (

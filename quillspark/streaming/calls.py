@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
+from ..session import own_path
 
 
 def call_stream(spark: SparkSession, path: str, max_files: int = 1) -> DataFrame:
@@ -50,10 +50,8 @@ def running_totals(stream: DataFrame) -> DataFrame:
 def drain(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
     """Run a stream over what is there, into a table of the shared folder, and read it. Appends are exactly once: the
     batch id names each batch's folder, so a repeated batch overwrites its own rows only."""
-    import uuid
-
     spark = stream.sparkSession
-    base = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    base = own_path(spark, name)
 
     def put(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{base}/rows/batch={batch_id}")

@@ -58,6 +58,7 @@ EVIDENCE_MARKERS = ("god", "goddess", "deity", "myth", "legend")
 ALIGN_OK, ALIGN_RISK, ALIGN_MIN_COSINE = 0.75, 0.60, 0.45
 MAX_PATHS, MAX_UNITS = 40, 25
 PART_PATHS, PREFERRED_PARTS = 20, 3
+SMALL_PLAN, MEDIUM_PLAN = 20, 79
 TOKEN_TIERS = ((20, 4096), (30, 8192), (40, 24576))
 TOP_K, TOP_THRESHOLD = 5, 0.6
 MESSAGE_CAP = 500

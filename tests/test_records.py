@@ -211,9 +211,9 @@ def test_results_with_a_unit_over_the_cap_are_reported(spark, tmp_path):
     rest = [(2, f"stanzas[{i}].emotion") for i in range(3)] + [(3, f"stanzas[{i}].tone") for i in range(2)]
     rows = [(n, r, p, None) for n, (r, p) in enumerate(big + rest)]
     spark.createDataFrame(rows, "issue_id long, result_id long, field_path string, validation_reason string").write.parquet(f"{tmp_path}/invalid_path_issues.parquet")
-    got = {(r.result_id, r.part_index, r.n_parts, r.reason, r.n_units, len(r.paths.split(";"))) for r in plans.full_split(spark, str(tmp_path)).collect()}
+    got = {(r.result_id, r.part_index, r.n_parts, r.reason, r.n_units, len(r.paths.split(";"))) for r in plans.split_overlay(spark, str(tmp_path)).collect()}
     assert got == {(1, None, 0, "unit_over_cap", 2, 22), *((2, i, 3, None, 1, 1) for i in (1, 2, 3)), *((3, i, 2, "fewer_units", 1, 1) for i in (1, 2))}
-    faults = plans.full_coverage(spark, str(tmp_path)).collect()
+    faults = plans.coverage_faults(spark, str(tmp_path)).collect()
     assert {(r.result_id, r.path, r.n) for r in faults} == {(r, p, None) for r, p in big} and len(faults) == 22
 
 
@@ -223,6 +223,48 @@ def test_deal_is_fair_and_ordered(spark):
     assert got == {i: k % 3 for k, (_, i) in enumerate(sorted(rows))}
 
 
+def test_running_sums_equal_a_loop(spark):
+    """Ids of many lengths, ties, nulls among the group keys; blocks of one and of many rows."""
+    import random
+
+    rnd = random.Random(5)
+    rows = sorted({(rnd.choice([None, "a", "b"]), "".join(rnd.choice("xyz") for _ in range(rnd.randint(0, 9)))) for _ in range(400)}, key=lambda r: (r[0] is not None, r[0] or "", r[1]))
+    rows = [(g, i, k % 7) for k, (g, i) in enumerate(rows)]
+    df = spark.createDataFrame(rows, "g string, i string, v int").repartition(5)
+    keyed = df.withColumns({"s": F.substring("i", 1, 1), "b": F.substring("i", 1, 3)})
+    got = {(r.g, r.i): (r.n, r.total) for r in corpus.running(keyed, ["g", "s"], ["b"], ["i"], {"total": "v"}, "n").collect()}
+    total, want = 0, {}
+    for n, (g, i, v) in enumerate(rows, 1):
+        total += v
+        want[g, i] = (n, total)
+    assert got == want
+    assert {(r.g, r.i): r.n for r in corpus.exact_numbers(df, ["g"], "i", "n", 2, 1).collect()} == {k: n for k, (n, _) in want.items()}
+
+
+def test_written_tables_are_swept(spark):
+    import pathlib
+
+    from quillspark import session
+
+    df = session.written(spark.range(3).toDF("id"), "swept")
+    path = pathlib.Path(next(p for _, p in session._written if "swept" in p).removeprefix("file://"))
+    assert df.count() == 3 and path.exists()
+    assert session.sweep() > 0 and not path.exists()
+
+
+def test_clusters_need_a_shared_folder():
+    from quillspark import session
+
+    class Context:
+        master, applicationId = "spark://somewhere:7077", "x"
+
+    class Conf:
+        get = staticmethod(lambda key, default: default)
+
+    with pytest.raises(ValueError):
+        session.shared_dir(type("S", (), {"conf": Conf, "sparkContext": Context})())
+
+
 def test_retries():
     waits, codes = [], [503, 429]
 
