@@ -6,6 +6,7 @@ anything reads them: a recomputed lineage must not call twice.
 
 from __future__ import annotations
 
+import hashlib
 import time
 from collections.abc import Callable
 
@@ -44,8 +45,24 @@ def call(client: Callable[[dict], dict], request: dict, sleep: Callable[[float],
     return "failed", 0, None, None, None
 
 
-def run_calls(requests: DataFrame, keys: list[str], prompt: str, client_factory: Callable[[], Callable[[dict], dict]], sleep=time.sleep, dry_run: bool = False) -> DataFrame:
-    """The keys with the result of each request, written once. A dry run makes no client and no call."""
+def call_chain(clients: list[Callable[[dict], dict]], request: dict, accepted: Callable[[str | None], bool], sleep: Callable[[float], None] = time.sleep) -> tuple:
+    """(client number, *result of call) of the first of several clients (primary, repair, fallback) whose answer is
+    accepted; each is told the answer before it. None accepted: the last result, with the number -1."""
+    result: tuple = ("failed", 0, None, None, None)
+    for k, client in enumerate(clients):
+        result = call(client, request | {"previous": result[3]}, sleep)
+        if result[0] == "success" and accepted(result[3]):
+            return (k, *result)
+    return (-1, *result)
+
+
+def run_calls(requests: DataFrame, keys: list[str], prompt: str, client_factory: Callable[[], Callable[[dict], dict]], sleep=time.sleep, dry_run: bool = False, ledger: DataFrame | None = None) -> DataFrame:
+    """The keys with the result of each request, written once. A dry run makes no client and no call.
+
+    Requests whose keys are in the ledger (results of earlier runs) are not made again. Each request carries request_key,
+    a hash of its keys and prompt, by which a client that a retried task asks again can give its first answer."""
+    if ledger is not None:
+        requests = requests.join(ledger.where("outcome = 'success'").select(*keys).distinct(), keys, "left_anti")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in requests.select(*keys).schema) + ", " + RESULT
     if dry_run:
         none = lambda t: F.lit(None).cast(t)
@@ -57,7 +74,8 @@ def run_calls(requests: DataFrame, keys: list[str], prompt: str, client_factory:
             client = client or client_factory()
             for i, p in enumerate(batch["_prompt"]):
                 row = tuple(batch[k][i] for k in keys)
-                yield (*row, *call(client, dict(zip(keys, row)) | {"prompt": p}, sleep))
+                sent = hashlib.sha256(repr((row, p)).encode("utf-8", "surrogatepass")).hexdigest()
+                yield (*row, *call(client, dict(zip(keys, row)) | {"prompt": p, "request_key": sent}, sleep))
 
     return written(partition_stage(requests.select(*keys, F.col(prompt).alias("_prompt")), schema, go), "calls")
 

@@ -42,6 +42,14 @@ def nearest(df: DataFrame, id_col: str, vector: str, protos: DataFrame, label: s
     return scored.select(id_col, (-best["minus"]).alias("nearest"), best["score"].alias("score"))
 
 
+def scores(df: DataFrame, id_col: str, vector: str, protos: DataFrame, label: str, proto: str) -> DataFrame:
+    """(<id>, s): every prototype's label and cosine, best first, the smaller label on ties. One prototype per label."""
+    table = protos.agg(F.collect_list(F.struct(F.col(label).alias("l"), F.col(proto).alias("v"))).alias("ps"))
+    scored = df.select(id_col, vector).crossJoin(table)
+    s = F.transform("ps", lambda p: F.struct((-cosine(F.col(vector), p["v"])).alias("minus"), p["l"].alias("label")))
+    return scored.select(id_col, F.transform(F.array_sort(s), lambda x: F.struct(x["label"].alias("label"), (-x["minus"]).alias("score"))).alias("s"))
+
+
 def top_k(df: DataFrame, id_col: str, vector: str, is_query: Column, k: int, threshold: float = -1.0) -> DataFrame:
     """(query_id, <id>, score, rank): exact cosine top-k of every query row against all rows but itself, ties by id.
 

@@ -158,16 +158,17 @@ RISK = [
     "SELECT a.result_id, '$', 'too_many_entities' FROM ann a WHERE (SELECT count(*) FROM ce WHERE ce.result_id = a.result_id) > 2 * greatest((SELECT count(*) FROM st WHERE st.result_id = a.result_id), 1)",
     "SELECT result_id, parent_path, 'too_many_expressions' FROM ms GROUP BY result_id, parent_path HAVING count(*) > 3",
 ]
+MISMATCH = f"""sn AS (SELECT result_id, count(*) AS n FROM st GROUP BY ALL),
+ix AS (SELECT result_id, object_path || '.index' AS field_path, 'index_is_position' AS rule FROM st WHERE coalesce(try_cast({f('index', 'i')} AS int), -1) <> ordinal + 1
+    UNION ALL SELECT ce.result_id, object_path || '.stanza_index', 'stanza_index_in_range' FROM ce LEFT JOIN sn USING (result_id)
+    WHERE try_cast({f('stanza_index', 'si')} AS int) IS NULL OR try_cast({f('stanza_index', 'si')} AS int) NOT BETWEEN 1 AND coalesce(n, 0))"""
 TENOR, KIND = f"lower({stripped(f('tenor'))})", f"lower({stripped(f('expression_type'))})"
 
 SQL = {
     "completeness_violations": union(REQ),
     "vocabulary_errors": union(VOC),
     "loss_note_contradictions": union([rule("st", BAD, "loss_note", "faithful_with_loss_note"), rule("st", BAD, "translation_quality", "faithful_with_loss_note")]),
-    "index_mismatches": f"""WITH {ANNOTATIONS}, n AS (SELECT result_id, count(*) AS n FROM st GROUP BY ALL)
-        SELECT result_id, object_path || '.index' AS field_path, 'index_is_position' AS rule FROM st WHERE coalesce(try_cast({f('index', 'i')} AS int), -1) <> ordinal + 1
-        UNION ALL SELECT ce.result_id, object_path || '.stanza_index', 'stanza_index_in_range' FROM ce LEFT JOIN n USING (result_id)
-        WHERE try_cast({f('stanza_index', 'si')} AS int) IS NULL OR try_cast({f('stanza_index', 'si')} AS int) NOT BETWEEN 1 AND coalesce(n, 0)""",
+    "index_mismatches": f"WITH {ANNOTATIONS}, {MISMATCH} SELECT * FROM ix",
     "romanization_conflicts": f"""WITH {ANNOTATIONS}, r AS (SELECT result_id, {f('term', 'tm')} AS term, {f('romanization', 'rm')} AS romanization, object_path,
         first_value({f('romanization', 'rm')}) OVER (PARTITION BY result_id, {f('term', 'tm')} ORDER BY ordinal) AS first_romanization FROM ce WHERE {f('term', 'tm')} <> '')
         SELECT result_id, term, first_romanization, romanization, object_path FROM r WHERE romanization IS DISTINCT FROM first_romanization""",

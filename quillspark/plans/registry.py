@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import annotation, assembly, corpus, grounding, nested, planning, records, segments, vectors
+from . import annotation, assembly, corpus, grounding, nested, patches, planning, progress, records, schema, segments, vectors
 
-MODULES = (nested, segments, annotation, corpus, grounding, planning, vectors, records, assembly)
+MODULES = (nested, segments, annotation, corpus, grounding, planning, patches, schema, progress, vectors, records, assembly)
 
 
 def queries() -> dict[str, Callable]:

@@ -21,7 +21,7 @@ def call_stream(spark: SparkSession, path: str, max_files: int = 1) -> DataFrame
     return reader.parquet(path)
 
 
-def unique(stream: DataFrame, late: str = "3650 days") -> DataFrame:
+def unique(stream: DataFrame, late: str = "30 days") -> DataFrame:
     """One row per response_id within the watermark; rows without an id are kept."""
     s = stream.withColumn("requested_at", F.col("requested_at").cast("timestamp")).withWatermark("requested_at", late)
     keyed = s.withColumn("_key", F.coalesce("response_id", F.concat_ws("|", "poem_id", "section_name", F.col("requested_at").cast("string"))))

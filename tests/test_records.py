@@ -281,11 +281,57 @@ def test_retries():
     assert calls.call(refuse, {}, waits.append)[:3] == ("failed", 1, 403)
 
 
+def test_chain_of_clients():
+    def broken(request):
+        raise calls.CallError(403)
+
+    tells = lambda request: {"text": f"after {request['previous']}", "finish_reason": "STOP"}
+    assert calls.call_chain([broken, lambda r: {"text": "{", "finish_reason": "STOP"}, tells], {}, lambda t: t.startswith("after"))[:5] == (2, "success", 1, None, "after {")
+    assert calls.call_chain([broken], {}, bool)[0] == -1
+
+
+def test_batches_run_in_order_and_stop(spark):
+    from quillspark.operators import progress
+
+    ran = []
+    assert progress.run_sequence([1, 2, 3, 4], lambda b: ran.append(b) or b != 3, {1}) == [(2, "success"), (3, "failed")] and ran == [2, 3]
+    parts = spark.createDataFrame([(1, 1, 3, None, 1, ["a"]), (1, 2, 3, None, 3, ["b", "c", "d"]), (2, 1, 2, None, 1, ["a"]), (2, 1, 2, None, 1, ["a"]), (3, None, 0, "unit_over_cap", 1, ["x"]), (4, 1, 1, "fewer_units", 1, ["y"])],
+                                  "k int, part_index int, n_parts int, reason string, n_units int, paths array<string>")
+    got = {(r.k, r.rule) for r in progress.overlay_faults(parts, "k", 2).collect()}
+    assert got == {(1, "part_over_cap"), (1, "uneven_parts"), (1, "part_numbers"), (2, "part_numbers"), (2, "path_in_two_parts"), (2, "reason_missing"), (3, "not_split")}
+
+
+def test_repairs_four_ways(spark):
+    """Left open wins over absent, absent over null, null over a value; unasked answers change nothing."""
+    from quillspark.operators import patches
+
+    asked = spark.createDataFrame([(1, p, "old") for p in ("value", "null", "absent", "open_absent", "open_null")] + [(2, "x", None)], "k int, path string, old string")
+    text = json.dumps({"value": "new", "null": None, "open_null": None, "other": "z", "unresolved_items": [{"field_path": "open_absent", "candidate_value": "c"}, {"field_path": "open_null"}]})
+    answers = patches.answer_rows(spark.createDataFrame([(1, f"```json\n{text}\n```"), (2, "{")], "k int, t string"), "k", "t")
+    got = {(r.k, r.path): (r.answer, r.value, r.unresolved) for r in patches.repaired(asked, answers, "k").collect()}
+    assert got == {(1, "value"): ("value", "new", False), (1, "null"): ("null", None, False), (1, "absent"): ("absent", "old", True), (1, "open_absent"): ("left_open", "old", True), (1, "open_null"): ("left_open", "old", True), (2, "x"): ("absent", None, True)}
+
+
+def test_patches_of_a_document_are_applied_together(spark):
+    from quillspark.operators import patches
+
+    tree = {"recitation_style": "lament", "stanzas": [{"index": 1, "emotion": None, "tone": "prayer"}]}
+    b = bridge(spark, [json.dumps(tree)] * 3)
+    p = [(0, 1, "stanzas[0].emotion", "grief"), (0, 2, "theme", "t"), (1, 3, "stanzas[0].emotion", "joy"), (1, 4, "theme", "t"), (2, 5, "stanzas[0].tone", "wonder"), (2, 6, "stanzas[4].tone", "wonder"), (2, 7, "stanzas[0].term", "x"), (2, 8, "theme", None), (2, 9, "a..b", "x"), (2, 10, "recitation_style", "lament"), (2, 11, "nothing", "x")]
+    v = patches.verdicts(spark.createDataFrame(p, "result_id long, issue_id int, path string, value string"), b)
+    assert {r.issue_id: r.verdict for r in v.collect()} == {1: "ok", 2: "ok", 3: "outside_vocabulary", 4: "ok", 5: "already_filled", 6: "no_object", 7: "unknown_field", 8: "no_value", 9: "bad_syntax", 10: "ok", 11: "unknown_field"}
+    assert {r.issue_id for r in v.where("applied").collect()} == {1, 2}
+    after = {(r.result_id, r.object_path, r.field): r.value for r in patches.patched_fields(patches.fields(b), v).collect()}
+    assert after[0, "stanzas[0]", "emotion"] == "grief" and after[0, "$", "theme"] == "t" and (1, "$", "theme") not in after and after[2, "stanzas[0]", "tone"] == "prayer"
+
+
 def test_calls_and_repair_rounds(spark):
     df = spark.createDataFrame([(i, f"p{i}") for i in range(6)], "id int, prompt string")
     done = calls.run_calls(df, ["id"], "prompt", lambda: lambda r: {"text": r["prompt"].upper(), "finish_reason": "STOP"}, sleep=lambda s: None)
     assert {(r.id, r.text) for r in done.collect()} == {(i, f"P{i}") for i in range(6)}
     assert {r.outcome for r in calls.run_calls(df, ["id"], "prompt", None, dry_run=True).collect()} == {"planned"}
+    again = calls.run_calls(df, ["id"], "prompt", lambda: lambda r: {"text": r["request_key"], "finish_reason": "STOP"}, sleep=lambda s: None, ledger=done.where("id < 4"))
+    assert {r.id for r in again.collect()} == {4, 5} and len({r.text for r in again.collect()}) == 2
     state, n = calls.repair_rounds(spark.createDataFrame([(1, 3), (2, 0), (3, 1)], "id int, left int"), lambda s: s.where("left > 0"), lambda s, todo, k: s.withColumn("left", F.greatest(F.col("left") - 1, F.lit(0))))
     assert n == 2 and {(r.id, r.left) for r in state.collect()} == {(1, 1), (2, 0), (3, 0)}
 
@@ -294,19 +340,35 @@ def test_sources(spark, tmp_path):
     rec = {"poem_id": "p1", "poem_title": "t", "language": "Hindi", "original_poem": "a", "translated_poem": "b"}
     d = tmp_path / "records"
     d.mkdir()
-    (d / "p1.json").write_text(json.dumps(rec))
+    (d / "p1.json").write_text(json.dumps(rec, indent=1))  # a record of several lines
     (d / "p2.json").write_text(json.dumps(rec | {"poem_id": "p2", "more": 1}))
     (d / "p3.json").write_text(json.dumps({k: v for k, v in rec.items() if k != "language"}))
     (d / "p4.json").write_text(json.dumps(rec))
     assert [r.key_fault for r in tables.record_files(spark, str(d)).orderBy("path").collect()] == [None, "extra:more", "missing:language", "id_is_not_the_file_name"]
     for k, v in enumerate(([rec], {"poems": [rec, rec]})):
-        (tmp_path / f"a{k}.json").write_text(json.dumps(v))
+        (tmp_path / f"a{k}.json").write_text(json.dumps(v, indent=k))
         assert tables.record_array(spark, str(tmp_path / f"a{k}.json")).count() == k + 1
     (tmp_path / "a.csv").write_text("poem_id,language,assignee\n p1 ,Hindi,x\np1,Hindi,y\n")
-    rows, twice = tables.assignment_csv(spark, str(tmp_path / "a.csv"))
-    assert rows.count() == 2 and twice.first().poem_id == "p1"
+    (tmp_path / "a.csv").write_text("poem_id,language,assignee\n p1 ,Hindi,x\n\np1,Hindi,y\np2,,\"z, w\"\n")
+    rows, faults = tables.assignment_csv(spark, str(tmp_path / "a.csv"))
+    assert {tuple(r) for r in rows.collect()} == {("p1", "Hindi", "x", 2), ("p1", "Hindi", "y", 4), ("p2", None, "z, w", 5)}
+    assert {(r.poem_id, r.fault, tuple(r.lines)) for r in faults.collect()} == {("p1", "repeated_id", (2, 4)), ("p2", "blank_language", (5,))}
+    recs = tables.validated(spark.createDataFrame([("a", "Hindi"), ("b", " "), ("c", "Klingon"), ("d", "hindi "), ("d", "Hindi"), (None, "Hindi")], "poem_id string, language string"), ["Hindi"])
+    assert sorted((r.poem_id or "", r.fault or "") for r in recs.collect()) == [("", "blank_id"), ("a", ""), ("b", "no_language"), ("c", "unknown_language"), ("d", "repeated_id"), ("d", "repeated_id")]
+    assert tables.or_raise(recs.where("fault IS NULL"), "fault", "poem_id").count() == 1
+    with pytest.raises(Exception, match="unknown_language"):
+        tables.or_raise(recs.where("poem_id = 'c'"), "fault", "poem_id").collect()
+    d = tmp_path / "profiles"
+    d.mkdir()
+    for name, body in (("a.json", '{"language": "Hindi", "rules": []}'), ("b.JSON", '{"language": "hindi", "rules": []}'), ("c.json", '{"language": "Tamil"}'), ("e.json", "{"), ("x.txt", "no")):
+        (d / name).write_text(body)
+    got = {(r.path.rsplit("/", 1)[1], r.fault) for r in tables.profiles(spark, str(d), ["language", "rules"]).collect()}
+    assert got == {("a.json", "repeated_language"), ("b.JSON", "repeated_language"), ("c.json", "missing:rules"), ("e.json", "not_json")}
+    b = spark.createDataFrame([("q", 1, "q1"), ("p", 2, "p2"), ("p", 1, "p1")], "poem_id string, batch_index int, batch_id string")
+    done = spark.createDataFrame([("p1",), ("zz",)], "batch_id string")
+    assert [r.batch_id for r in tables.open_batches(b, done).collect()] == ["p2", "q1"] and tables.unknown_batches(done, b).first().batch_id == "zz"
     (tmp_path / "t.jsonl").write_text('{"term": "a"}\nbroken\n')
-    assert tables.json_lines(spark, str(tmp_path / "t.jsonl"), "term string").count() == 1
+    assert {(r.term, r._corrupt) for r in tables.json_lines(spark, str(tmp_path / "t.jsonl"), "term string").collect()} == {("a", None), (None, "broken")}
 
 
 def test_sheet(spark, tmp_path):
@@ -330,6 +392,14 @@ def test_sinks(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "p")).count() == 3
     sinks.per_worker_csv(df, str(tmp_path / "c"), "lang", "id")
     assert spark.read.option("header", True).csv(str(tmp_path / "c")).count() == 2
+    out = spark.createDataFrame([("b1", 1, "safety"), ("b1", 2, "odd"), ("b1", 1, "safety")], "batch string, attempt int, classification string")
+    assert sinks.record_outcomes(out, str(tmp_path / "o"), ["batch", "attempt"]) == 2 and sinks.record_outcomes(out, str(tmp_path / "o"), ["batch", "attempt"]) == 0
+    assert {r.classification for r in spark.read.parquet(str(tmp_path / "o")).collect()} == {"SAFETY", "UNKNOWN"}
+    sinks.metadata_manifest(df, str(tmp_path / "m"), "id", ["lang"])
+    assert spark.read.json(str(tmp_path / "m")).columns == ["id", "n"]
+    sinks.inventory_files(df, str(tmp_path / "i"))
+    assert spark.read.json(str(tmp_path / "i/json")).count() == spark.read.option("header", True).csv(str(tmp_path / "i/csv")).count() == 2
+    assert "id" in [c for c in sinks.write_and_check(df, str(tmp_path / "w"), lambda x: x.where("n > 1")).columns]
     assert "Rejected records: 1" in sinks.reject_report(spark.createDataFrame([("a", "blank"), ("b", "canonical")], "id string, route string"), "id")
 
 
