@@ -30,6 +30,7 @@ from .words import words
 SHINGLE = 5  # words of a shingle
 SIZES = (32, 48, 64, 96, 128, 192, 256)  # greatest words of a domain, by size class
 ITEM_WORDS = 64  # words of a query
+CELLS = 65_536  # hashes computed at once
 MISS = 1e-5  # probability to overlook the smallest leak
 IN_MEMORY = 4_000_000  # register values of items up to which they are searched where documents are read; beyond it, joined
 
@@ -61,7 +62,7 @@ class Domains:
         self.counts = [registers_of(s, run, self.shingle) for s in self.sizes]
         self.seed = seeds(max(self.counts))
         self.number = mix(np.arange(1, max(self.counts) + 1, dtype=np.uint64))
-        self.hasher = Hasher(1)
+        self.hasher, self.room = Hasher(1), None
 
     def __reduce__(self):
         return Domains, (self.run,)
@@ -83,11 +84,18 @@ class Domains:
 
     def values(self, g: np.ndarray, m: int) -> np.ndarray:
         """The first m register values of a set of shingles, each mixed with its register's number."""
-        low = np.full(m, np.iinfo(np.uint64).max, dtype=np.uint64)
-        for at in range(0, len(g), 512):
-            h = (g[at : at + 512, None] ^ self.seed[:m]) * np.uint64(0xD6E8FEB86659FD93)
-            h ^= h >> np.uint64(32)
-            h *= np.uint64(0xD6E8FEB86659FD93)
+        low, seed = np.full(m, np.iinfo(np.uint64).max, dtype=np.uint64), self.seed[:m]
+        step = max(1, CELLS // m)
+        if self.room is None or self.room.shape[1] < step * m:
+            self.room = np.empty((2, max(CELLS, m)), dtype=np.uint64)  # kept: fresh memory costs more than the arithmetic
+        for at in range(0, len(g), step):
+            part = g[at : at + step, None]
+            h, t = (room[: len(part) * m].reshape(len(part), m) for room in self.room)
+            np.bitwise_xor(part, seed, out=h)
+            np.multiply(h, np.uint64(0xD6E8FEB86659FD93), out=h)
+            np.right_shift(h, np.uint64(32), out=t)
+            np.bitwise_xor(h, t, out=h)
+            np.multiply(h, np.uint64(0xD6E8FEB86659FD93), out=h)
             np.minimum(low, h.min(axis=0), out=low)
         return mix(low ^ self.number[:m])
 
