@@ -120,8 +120,14 @@ class Items:
         v, o = (np.concatenate(values), np.concatenate(owners)) if values else (np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64))
         order = np.argsort(v, kind="stable")
         self.values, self.owners = v[order], o[order]
+        self.mask = np.uint64((1 << max(10, (16 * len(v)).bit_length())) - 1)
+        self.maybe = np.zeros(int(self.mask) + 1, dtype=bool)  # most values that no item has are seen to be so at one look
+        self.maybe[(v & self.mask).astype(np.int64)] = True
 
     def candidates(self, values: np.ndarray) -> set[int]:
+        values = values[self.maybe[(values & self.mask).astype(np.int64)]]
+        if not len(values):
+            return set()
         lo, hi = np.searchsorted(self.values, values), np.searchsorted(self.values, values, side="right")
         hit = np.flatnonzero(hi > lo)
         return set(np.concatenate([self.owners[lo[k] : hi[k]] for k in hit]).tolist()) if len(hit) else set()
