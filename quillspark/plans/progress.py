@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import corpus, planning, progress, vectors
 from ..session import table
 from . import planning as plans
+from .grounding import BASE, grounding_issues, issue_sql
 from .patches import ALL_FIELDS, issue_fields, object_fields, results
 from .planning import CLASS, PATHS, issue_paths, pack_sql, packed, split_sql
 from .vectors import CENT
@@ -140,8 +141,6 @@ def review_items(spark, d):
 
 def first_ungrounded(spark, d):
     """The first path of each result whose span is not in its poem."""
-    from .grounding import grounding_issues
-
     g = grounding_issues(spark, d).where("code = 'span_not_found'").select("result_id", F.concat_ws(".", "object_path", "field").alias("path"))
     return g.groupBy("result_id").agg(F.min("path").alias("first_path"), F.count("*").alias("n"))
 
@@ -199,4 +198,5 @@ SQL = {
         sum(coalesce(total_token_count, prompt_token_count + candidates_token_count, prompt_token_count, candidates_token_count)) AS tokens FROM provider_calls GROUP BY ALL""",
     "vector_context": f"WITH {CONTEXT} SELECT * FROM vc",
     "review_items": f"WITH {CONTEXT} SELECT nearest, review, count(*) AS n FROM vc GROUP BY ALL",
+    "first_ungrounded": f"{BASE} SELECT result_id, min(object_path || '.' || field) AS first_path, count(*) AS n FROM ({issue_sql(False)}) WHERE code = 'span_not_found' GROUP BY result_id",
 }
