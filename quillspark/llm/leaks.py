@@ -6,8 +6,9 @@ one domain of its size class, a longer one is cut into domains of that size that
 into queries of ITEM_WORDS words in the same way, so every run lies whole in a domain and in a query. In a class of at
 most u shingles, a leak has a likeness of at least s = k / (u + q - k) with k shared shingles and q in the query; the class
 has as many MinHash registers as it takes for a pair of likeness s to agree in none with a probability of MISS. Small
-domains need few registers, large ones many. Pairs that agree in a register are verified exactly, run by run, and
-the share of the item's shingles the document holds is reported.
+domains need few registers, large ones many. Registers hold 32-bit hashes: two shingles of one hash only add a candidate.
+Pairs that agree in a register are verified exactly, run by run, and the share of the item's shingles the document holds
+is reported.
 
 Defined results: null and blank texts and texts of fewer than `run` words leak nothing; repeated rows give one row;
 copies of an item are each reported; the size class is that of the whole document, log2 of its words.
@@ -16,6 +17,7 @@ copies of an item are each reported; the size class is that of the whole documen
 from __future__ import annotations
 
 import math
+from itertools import accumulate
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -31,6 +33,9 @@ SHINGLE = 5  # words of a shingle
 SIZES = (32, 48, 64, 96, 128, 192, 256)  # greatest words of a domain, by size class
 ITEM_WORDS = 64  # words of a query
 CELLS = 65_536  # hashes computed at once
+BLOCK = 32_768  # words of short documents hashed at once
+LOOKUPS = 128  # domains looked up at once
+HITS = 500_000  # items of shared values put beside their domains at once
 MISS = 1e-5  # probability to overlook the smallest leak
 IN_MEMORY = 4_000_000  # register values of items up to which they are searched where documents are read; beyond it, joined
 
@@ -53,6 +58,16 @@ def registers_of(size: int, run: int, shingle: int) -> int:
     return math.ceil(math.log(MISS) / math.log1p(-least)) if least < 1 else 1
 
 
+class Known(dict):
+    """What Hasher keeps; a word that is not there yet is hashed when it is asked for."""
+
+    def __init__(self, word) -> None:
+        self.word = word
+
+    def __missing__(self, w: str) -> int:
+        return self.word(w)
+
+
 class Domains:
     """Cuts texts into domains and computes the register values of their size classes."""
 
@@ -62,14 +77,15 @@ class Domains:
         self.counts = [registers_of(s, run, self.shingle) for s in self.sizes]
         self.seed = seeds(max(self.counts))
         self.number = mix(np.arange(1, max(self.counts) + 1, dtype=np.uint64))
-        self.hasher, self.room = Hasher(1), None
+        self.low_seed = self.seed.astype(np.uint32)
+        self.hasher, self.room = Hasher(1), np.empty((2, max(CELLS, *self.counts)), dtype=np.uint32)  # kept: fresh memory costs more than the arithmetic
+        self.hasher.cache = Known(self.hasher.word)
 
     def __reduce__(self):
         return Domains, (self.run,)
 
     def hashes(self, ws: list[str]) -> np.ndarray:
-        known, word = self.hasher.cache, self.hasher.word
-        return np.fromiter((known.get(w) or word(w) for w in ws), dtype=np.uint64, count=len(ws))
+        return np.fromiter(map(self.hasher.cache.__getitem__, ws), dtype=np.uint64, count=len(ws))
 
     def shingles(self, h: np.ndarray) -> np.ndarray:
         n = self.shingle
@@ -82,22 +98,30 @@ class Domains:
         """(start, end, registers) of the domains of a text of n words."""
         return [(a, b, self.counts[next(i for i, s in enumerate(self.sizes) if s >= b - a)]) for a, b in cuts(n, self.sizes[-1], self.run)]
 
-    def values(self, g: np.ndarray, m: int) -> np.ndarray:
-        """The first m register values of a set of shingles, each mixed with its register's number."""
-        low, seed = np.full(m, np.iinfo(np.uint64).max, dtype=np.uint64), self.seed[:m]
+    def minima(self, g: np.ndarray, m: int) -> np.ndarray:
+        """The first m registers of a set of shingles."""
+        low, seed, g = np.full(m, np.iinfo(np.uint32).max, dtype=np.uint32), self.low_seed[:m], g.astype(np.uint32)
         step = max(1, CELLS // m)
-        if self.room is None or self.room.shape[1] < step * m:
-            self.room = np.empty((2, max(CELLS, m)), dtype=np.uint64)  # kept: fresh memory costs more than the arithmetic
         for at in range(0, len(g), step):
             part = g[at : at + step, None]
             h, t = (room[: len(part) * m].reshape(len(part), m) for room in self.room)
             np.bitwise_xor(part, seed, out=h)
-            np.multiply(h, np.uint64(0xD6E8FEB86659FD93), out=h)
-            np.right_shift(h, np.uint64(32), out=t)
+            np.multiply(h, np.uint32(0x85EBCA6B), out=h)
+            np.right_shift(h, np.uint32(16), out=t)
             np.bitwise_xor(h, t, out=h)
-            np.multiply(h, np.uint64(0xD6E8FEB86659FD93), out=h)
+            np.multiply(h, np.uint32(0xC2B2AE35), out=h)
             np.minimum(low, h.min(axis=0), out=low)
-        return mix(low ^ self.number[:m])
+        return low
+
+    def values(self, g: np.ndarray, m: int) -> np.ndarray:
+        """The first m register values of a set of shingles, each mixed with its register's number."""
+        return mix(self.minima(g, m) ^ self.number[:m])
+
+    def values_of(self, g: np.ndarray, spans: list[tuple[int, int, int]]) -> tuple[np.ndarray, np.ndarray]:
+        """Register values of the domains (start, end, registers) of a text with shingles g, and the domain of each."""
+        low = np.concatenate([self.minima(g[a : b - self.shingle + 1], m) for a, b, m in spans])
+        number = np.concatenate([self.number[:m] for _, _, m in spans])
+        return mix(low ^ number), np.repeat(np.arange(len(spans)), [m for _, _, m in spans])
 
 
 def runs(ws: list[str], run: int) -> set[str]:
@@ -124,13 +148,58 @@ class Items:
         self.maybe = np.zeros(int(self.mask) + 1, dtype=bool)  # most values that no item has are seen to be so at one look
         self.maybe[(v & self.mask).astype(np.int64)] = True
 
+    def pairs(self, values: np.ndarray, domain: np.ndarray):
+        """(domain, item) of the domains with these values, in their order, and the items that share one. A pair comes
+        again where a domain has more than HITS."""
+        hit = np.flatnonzero(self.maybe[(values & self.mask).astype(np.int64)])
+        values, domain = values[hit], domain[hit]
+        lo = np.searchsorted(self.values, values)
+        n = np.searchsorted(self.values, values, side="right") - lo
+        upto, at = np.cumsum(n), 0
+        while at < len(n):
+            end = max(at + 1, int(np.searchsorted(upto, upto[at] - n[at] + HITS, side="right")))
+            some = n[at:end]
+            owners = self.owners[np.arange(some.sum()) + np.repeat(lo[at:end] - np.cumsum(some) + some, some)]
+            for x in np.unique(np.repeat(domain[at:end], some) * len(self.ids) + owners).tolist():
+                yield divmod(x, len(self.ids))
+            at = end
+
     def candidates(self, values: np.ndarray) -> set[int]:
-        values = values[self.maybe[(values & self.mask).astype(np.int64)]]
-        if not len(values):
-            return set()
-        lo, hi = np.searchsorted(self.values, values), np.searchsorted(self.values, values, side="right")
-        hit = np.flatnonzero(hi > lo)
-        return set(np.concatenate([self.owners[lo[k] : hi[k]] for k in hit]).tolist()) if len(hit) else set()
+        return {k for _, k in self.pairs(values, np.zeros(len(values), dtype=np.int64))}
+
+    def shared(self, k: int, g: np.ndarray) -> int:
+        """How many of the shingles g item k has."""
+        have = self.shingles[k]
+        return int(np.count_nonzero(have[np.minimum(np.searchsorted(have, g), len(have) - 1)] == g))
+
+    def leaked(self, part: list[tuple[object, list[str]]], domains: Domains):
+        """(id, item id, size class, containment) of documents (id, words) that are hashed together."""
+        run, short = domains.run, domains.shingle - 1
+        starts = [0, *accumulate(len(ws) for _, ws in part)]
+        g = domains.shingles(domains.hashes([w for _, ws in part for w in ws]))
+        spans = [(d, a, b, m) for d, (_, ws) in enumerate(part) for a, b, m in domains.spans(len(ws))]
+
+        def rows(d: int, found: set[int]):
+            rid, ws = part[d]
+            for k in sorted(found):
+                yield rid, self.ids[k], len(ws).bit_length() - 1, contained(self.shingles[k], g[starts[d] : starts[d] + len(ws) - short])
+
+        doc, found = 0, set()
+        for at in range(0, len(spans), LOOKUPS):
+            some, last, have = spans[at : at + LOOKUPS], None, None
+            for j, k in self.pairs(*domains.values_of(g, [(starts[d] + a, starts[d] + b, m) for d, a, b, m in some])):
+                d, a, b, _ = some[j]
+                if d != doc:
+                    yield from rows(doc, found)
+                    doc, found = d, set()
+                if j != last:
+                    last, have = j, None
+                if k in found or have is None and self.shared(k, g[starts[d] + a : starts[d] + b - short]) < run - short:
+                    continue  # a run shares run - short shingles
+                have = have or runs(part[d][1][a:b], run)
+                if not have.isdisjoint(self.runs[k]):
+                    found.add(k)
+        yield from rows(doc, found)
 
 
 def word_lists(rw: Rewriter, run: int, ids: list, texts: list):
@@ -141,6 +210,19 @@ def word_lists(rw: Rewriter, run: int, ids: list, texts: list):
                 yield rid, ws
 
 
+def blocks(lists):
+    """(id, words) in lists of BLOCK words or little more."""
+    out, n = [], 0
+    for rid, ws in lists:
+        out.append((rid, ws))
+        n += len(ws)
+        if n >= BLOCK:
+            yield out
+            out, n = [], 0
+    if out:
+        yield out
+
+
 def contained(item: np.ndarray, doc: np.ndarray) -> float:
     return float(np.isin(item, doc).mean())
 
@@ -158,17 +240,8 @@ def leaks(docs: DataFrame, doc_id: str, text: str, items: DataFrame, item_id: st
         known = Items(list(word_lists(rw, run, *zip(*[(r[0], r[1]) for r in items.dropDuplicates().collect()] or [((), ())]))) if n else [], domains)
 
         def search(batch):
-            for rid, ws in word_lists(rw, run, batch["_id"], batch["_text"]):
-                h, found = domains.hashes(ws), set()
-                for a, b, m in domains.spans(len(ws)):
-                    near = known.candidates(domains.values(domains.shingles(h[a:b]), m)) - found
-                    if near:
-                        have = runs(ws[a:b], run)
-                        found |= {k for k in near if not have.isdisjoint(known.runs[k])}
-                if found:
-                    g = domains.shingles(h)
-                    for k in sorted(found):
-                        yield rid, known.ids[k], len(ws).bit_length() - 1, contained(known.shingles[k], g)
+            for part in blocks(word_lists(rw, run, batch["_id"], batch["_text"])):
+                yield from known.leaked(part, domains)
 
         return once(arrow_stage(spread(docs), schema, search))
 

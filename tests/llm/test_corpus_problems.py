@@ -107,6 +107,49 @@ def test_size_classes():
     assert found == 40
 
 
+def test_leaks_of_many_documents_are_searched_together(monkeypatch):
+    """Words and shingles are hashed once for many documents, registers in half the memory; what is found is what each document holds."""
+    monkeypatch.setattr(leaks, "LOOKUPS", 7)
+    monkeypatch.setattr(leaks, "HITS", 50)
+    rnd = random.Random(3)
+    d = leaks.Domains(12)
+    items = [(i, [f"v{rnd.randrange(400)}" for _ in range(80)]) for i in range(30)]
+    items += [(30 + i, items[0][1][:40] + [f"y{i}"] * 14) for i in range(20)]
+    docs = []
+    for n in range(200):
+        ws = [f"v{rnd.randrange(400)}" for _ in range(rnd.choice((12, 20, 90, 700)))]
+        if n % 3 == 0:
+            k, at = rnd.randint(9, 14), rnd.randrange(len(ws))
+            ws[at:at] = items[rnd.randrange(50)][1][5 : 5 + k]
+        docs.append((n, ws))
+    docs += [(200, items[0][1]), (201, items[0][1][:11] + items[0][1][12:24])]
+    calls, shingles = [], d.shingles
+    known = leaks.Items(items, d)
+    monkeypatch.setattr(d, "shingles", lambda h: calls.append(1) or shingles(h))
+    got = [r for part in leaks.blocks(docs) for r in known.leaked(part, d)]
+    assert len(calls) == len(list(leaks.blocks(docs))) <= 2 and d.minima(shingles(d.hashes(docs[0][1])), 110).dtype.itemsize == 4
+    want = {(a, b) for a, x in docs for b, y in items if leaks.runs(x, 12) & leaks.runs(y, 12)}
+    assert {r[:2] for r in got} == want and len(got) == len(want) > 60
+    for a, b, size, share in got:
+        h = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in (docs[a][1], items[b][1])]
+        assert size == len(docs[a][1]).bit_length() - 1 and abs(share - len(h[0] & h[1]) / len(h[1])) < 1e-9
+    none = leaks.Items([], d)
+    assert list(none.leaked(docs, d)) == [] and list(leaks.blocks([])) == []
+
+
+@pytest.mark.parametrize("size", [32, 256])
+def test_registers_agree_as_often_as_shingles_are_shared(size):
+    d, rng = leaks.Domains(12), np.random.default_rng(5)
+    m, n, likeness = d.counts[d.sizes.index(size)], size - 4, 8 / (size - 4 + 60 - 8)
+    agree = []
+    for _ in range(4000):
+        g = rng.integers(0, 2**64, n + 52, dtype=np.uint64)  # 60 shingles of a query, 8 of them in the domain
+        agree.append(d.values(g[:n], m) == d.values(g[n - 8 :], m))
+    agree = np.array(agree)
+    assert abs(agree.sum(axis=1).mean() / m - likeness) < 0.001 and abs(agree.sum(axis=1).var() / (m * likeness * (1 - likeness)) - 1) < 0.1
+    assert abs((~agree[:, : m // 4].any(axis=1)).mean() - (1 - likeness) ** (m // 4)) < 0.015
+
+
 def test_mix(spark):
     rnd = random.Random(6)
     docs = [(i, "big" if i % 3 else " Small ", " ".join(["word"] * rnd.randint(5, 30)) + f" {i}") for i in range(600)]
