@@ -7,6 +7,7 @@ into queries of ITEM_WORDS words in the same way, so every run lies whole in a d
 most u shingles, a leak has a likeness of at least s = k / (u + q - k) with k shared shingles and q in the query; the class
 has as many MinHash registers as it takes for a pair of likeness s to agree in none with a probability of MISS. Small
 domains need few registers, large ones many. Registers hold 32-bit hashes: two shingles of one hash only add a candidate.
+A shingle that comes again in a domain or a query counts as another one, so runs of repeated words share k shingles too.
 Pairs that agree in a register are verified exactly, run by run, and the share of the item's shingles the document holds
 is reported.
 
@@ -58,6 +59,17 @@ def registers_of(size: int, run: int, shingle: int) -> int:
     return math.ceil(math.log(MISS) / math.log1p(-least)) if least < 1 else 1
 
 
+def numbered(g: np.ndarray) -> np.ndarray:
+    """Shingles as a set in which the second, third, ... of the same ones are elements of their own; in any order."""
+    s = np.sort(g)
+    same = s[1:] == s[:-1]
+    if not same.any():
+        return g
+    at = np.arange(len(s))
+    rank = (at - np.maximum.accumulate(np.where(np.concatenate(([True], ~same)), at, 0))).astype(np.uint64)
+    return np.where(rank > 0, mix(s + rank * np.uint64(0x9E3779B97F4A7C15)), s)
+
+
 class Known(dict):
     """What Hasher keeps; a word that is not there yet is hashed when it is asked for."""
 
@@ -99,8 +111,8 @@ class Domains:
         return [(a, b, self.counts[next(i for i, s in enumerate(self.sizes) if s >= b - a)]) for a, b in cuts(n, self.sizes[-1], self.run)]
 
     def minima(self, g: np.ndarray, m: int) -> np.ndarray:
-        """The first m registers of a set of shingles."""
-        low, seed, g = np.full(m, np.iinfo(np.uint32).max, dtype=np.uint32), self.low_seed[:m], g.astype(np.uint32)
+        """The first m registers of shingles."""
+        low, seed, g = np.full(m, np.iinfo(np.uint32).max, dtype=np.uint32), self.low_seed[:m], numbered(g).astype(np.uint32)
         step = max(1, CELLS // m)
         for at in range(0, len(g), step):
             part = g[at : at + step, None]
@@ -114,7 +126,7 @@ class Domains:
         return low
 
     def values(self, g: np.ndarray, m: int) -> np.ndarray:
-        """The first m register values of a set of shingles, each mixed with its register's number."""
+        """The first m register values of shingles, each mixed with its register's number."""
         return mix(self.minima(g, m) ^ self.number[:m])
 
     def values_of(self, g: np.ndarray, spans: list[tuple[int, int, int]]) -> tuple[np.ndarray, np.ndarray]:

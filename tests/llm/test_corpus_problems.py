@@ -137,6 +137,21 @@ def test_leaks_of_many_documents_are_searched_together(monkeypatch):
     assert list(none.leaked(docs, d)) == [] and list(leaks.blocks([])) == []
 
 
+@pytest.mark.parametrize("in_memory", [True, False])
+def test_leaks_of_repeated_words(spark, monkeypatch, in_memory):
+    """A run of one or two words over and over has one or two distinct shingles, among many others in both texts."""
+    if not in_memory:
+        monkeypatch.setattr(leaks, "IN_MEMORY", 0)
+    refrains = [[f"la{i}"] * 12 if i % 2 else [f"la{i}", f"lo{i}"] * 6 for i in range(30)]
+    fill = lambda name, n: [f"{name}{k}" for k in range(n)]
+    items = [(i, " ".join([*fill(f"a{i}x", 20), *r, *fill(f"b{i}x", 30)])) for i, r in enumerate(refrains)]
+    docs = [(i, " ".join([*fill(f"c{i}x", 150), *r[i % 3 // 2 :], *fill(f"d{i}x", 90)])) for i, r in enumerate(refrains)]
+    got = {(r.d, r.i) for r in leaks.leaks(spark.createDataFrame(docs, "d long, t string"), "d", "t", spark.createDataFrame(items, "i long, t string"), "i", "t", IDENTITY).collect()}
+    assert got == {(i, i) for i in range(30) if i % 3 < 2}
+    g = np.array([5, 7, 5, 5, 7, 9], dtype=np.uint64)
+    assert len(set(leaks.numbered(g).tolist())) == 6 and set(leaks.numbered(g[:4]).tolist()) < set(leaks.numbered(g).tolist())
+
+
 @pytest.mark.parametrize("size", [32, 256])
 def test_registers_agree_as_often_as_shingles_are_shared(size):
     d, rng = leaks.Domains(12), np.random.default_rng(5)
